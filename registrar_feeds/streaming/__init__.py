@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The feeds are full re-extracts of the registrar tables on every run: there is
+no stream, watermark, window, state or late data in them, so nothing here is
+built as a Structured Streaming query.  A scheduled batch run of
+``registrar_feeds.plans.runner.run_feeds`` is the whole execution model.
+"""
