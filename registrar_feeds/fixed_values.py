@@ -65,9 +65,11 @@ AUDIT_DAYS_BACK = 1
 # The digest goes out only after this hour.
 DIGEST_AFTER_HOUR = 12
 
-# Digest text.
-DIGEST_HEADING = "The following courses have been cancelled.\n\n"
-DIGEST_LINE = "COURSE: {0} - {1} {2} {3} {4}\n"
+# Digest text: the heading, a blank line, then one line per course
+# (crs_no, sec_no, sess, yr, title; a missing value prints as None).
+DIGEST_HEADING = "The following courses have been cancelled."
+DIGEST_LINE = "COURSE: {0} - {1} {2} {3} {4}"
+DIGEST_MISSING = "None"
 
 # CSV headers of the exported feeds, in column order.
 CSV_HEADERS = {

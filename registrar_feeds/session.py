@@ -37,18 +37,25 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    ``spark.checkpoint.dir`` names the shared folder on a cluster; only when
-    it is unset (tests, local runs) a local temporary folder is set as it.
+    On a cluster it is set by the job and only read here; when it is unset
+    (tests, local runs) a local temporary folder is set as it.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="registrar-feeds-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
+    return base
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def local_path(path: str) -> str:
@@ -56,4 +63,4 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "scratch_dir", "local_path"]
+__all__ = ["build_session", "checkpoint_root", "scratch_dir", "local_path"]
