@@ -124,10 +124,14 @@ def id_text(c) -> Column:
 
 # --- meetings and locations --------------------------------------------------
 
+def meeting_slot(days, beg_tm, end_tm) -> Column:
+    """``days beg-end``; ``------- 0-0`` without days or times."""
+    return nvl(cat(trim(days), " ", whole(beg_tm), "-", whole(end_tm)), V.NO_MEETING)
+
+
 def meeting_text(crs_no, sec_no, days, beg_tm, end_tm) -> Column:
     """``crs_no-sec_no-days beg-end``; ``------- 0-0`` without days or times."""
-    slot = cat(trim(days), " ", whole(beg_tm), "-", whole(end_tm))
-    return cat(trim(crs_no), "-", col(sec_no), "-", nvl(slot, V.NO_MEETING))
+    return cat(trim(crs_no), "-", col(sec_no), "-", meeting_slot(days, beg_tm, end_tm))
 
 
 def merge_pattern(x, y) -> Column:

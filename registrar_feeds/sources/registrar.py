@@ -65,7 +65,16 @@ def read_tables(spark: SparkSession, base: str, env: str = "live",
     return out
 
 
-def write_tables(tables: dict[str, DataFrame], base: str, env: str = "live") -> None:
-    """Write staged tables as Parquet, one folder per table."""
+def write_tables(tables: dict[str, DataFrame], base: str, env: str = "live",
+                 row_group_bytes: int | None = None) -> None:
+    """Write staged tables as Parquet, one folder per table.
+
+    ``row_group_bytes`` sets the Parquet row-group size: scans split at row
+    groups, so it bounds the read parallelism of small tables (keep the
+    default, 128 MB, for large ones).
+    """
     for name in TABLES:
-        tables[name].write.mode("overwrite").parquet(table_path(base, env, name))
+        w = tables[name].write.mode("overwrite")
+        if row_group_bytes:
+            w = w.option("parquet.block.size", str(row_group_bytes))
+        w.parquet(table_path(base, env, name))
