@@ -1,0 +1,87 @@
+"""CSV export / archive / digest behaviour."""
+
+import datetime as dt
+import glob
+import os
+
+from registrar_feeds import fixed_values as V
+from registrar_feeds.asof import AsOf
+from registrar_feeds.plans import feeds as FD
+from registrar_feeds.plans.runner import run_feeds
+from registrar_feeds.session import local_path, scratch_dir
+from registrar_feeds.sinks import csv_export as CSV
+from registrar_feeds.sinks.digest import digest_lines, ordered_lines
+from tests.helpers import D, TS, tables
+
+
+def _text(path):
+    files = sorted(glob.glob(os.path.join(local_path(path), "part-*")))
+    return "".join(open(f, encoding="utf-8").read() for f in files)
+
+
+def test_csv_round_trip_keeps_awkward_text(spark):
+    vals = ['say "hi"', "a,b", "line1\nline2", "  padded  ", ""]
+    df = spark.createDataFrame([(i, v, "T") for i, v in enumerate(vals)],
+                               "mtg_no long, crls_code string, targ_code string")
+    out = scratch_dir(spark, "t-export")
+    paths = CSV.export_feed("CROSSLIST", df.coalesce(1), out)
+    text = _text(paths["export"])
+    assert text.startswith("Meeting Number,Cross-listed Section Code,Target Code\n")
+    assert '"say ""hi"""' in text and '"a,b"' in text
+    back = {r["Meeting Number"]: r["Cross-listed Section Code"] for r in CSV.read_csv(spark, "CROSSLIST", paths["export"]).collect()}
+    assert back == {str(i): (v if v else None) for i, v in enumerate(vals)}
+
+
+def test_null_id_exports_as_zero(spark):
+    df = spark.createDataFrame([("c", "s", "k", None, "STU", "g", D(2024, 1, 1), "Open")],
+                               "coursecode string, sectioncode string, secschoolcode string, uniqueuserid long, "
+                               "enrollmenttype string, gradeperiod string, start_date date, enroll_status string")
+    row = CSV.export_frame("ENROLLMENT", df).first()
+    assert row["Unique ID"] == "0" and len(row) == 6
+
+
+def test_empty_feed_writes_header_only(spark):
+    t = tables(spark)
+    out = scratch_dir(spark, "t-export")
+    paths = CSV.export_feed("CROSSLIST", FD.feed_crosslist(t, AsOf(dt.datetime(2024, 9, 10, 14))), out)
+    assert _text(paths["export"]) == ",".join(V.CSV_HEADERS["CROSSLIST"]) + "\n"
+
+
+def test_archive_equals_export(spark, smoke_tables):
+    a = AsOf(dt.datetime(1998, 7, 15, 14, 0))
+    out, arch = scratch_dir(spark, "t-export"), scratch_dir(spark, "t-archive")
+    paths = CSV.export_feed("USERS", FD.feed_users(smoke_tables, a), out, arch, a.ts)
+    assert paths["archive"].endswith("/USERS_BAK_19980715140000.csv")
+    assert _text(paths["export"]) == _text(paths["archive"])
+    lines = _text(paths["export"]).splitlines()
+    assert len(lines) == 124 and lines[0].startswith("First Name,Preferred First Name")
+
+
+def _cancel_tables(spark):
+    key = ("ART 101", "01", "UG18", "2024", "RA", 7, D(2024, 9, 1), D(2024, 12, 20))
+    ts = TS(2024, 9, 10, 8, 0)
+    return tables(spark, audit_sec_rec=[key + (s, D(2024, 9, 10), D(2024, 9, 10), ts) for s in ("X", "O")],
+                  id_rec=[(7, "Smith", "Ann", "", None)],
+                  crs_rec=[("ART 101", "UG18", "D1", "UNDG", "Art", None, "Lecture")])
+
+
+def test_digest_hour_gate_and_text(spark):
+    t = _cancel_tables(spark)
+    before = AsOf(dt.datetime(2024, 9, 10, 12, 59))
+    after = AsOf(dt.datetime(2024, 9, 10, 13, 0))
+    assert digest_lines(FD.feed_cancelled_courses(t, before), before).count() == 0
+    lines = [r.line for r in ordered_lines(digest_lines(FD.feed_cancelled_courses(t, after), after)).collect()]
+    # a null title part makes the whole title null, printed as None
+    assert lines == [V.DIGEST_HEADING, "", "COURSE: ART 101 - 01 RA 2024 None"]
+
+
+def test_run_feeds_writes_all_exports(spark, smoke_tables):
+    a = AsOf(dt.datetime(1998, 7, 15, 14, 0))
+    out, arch, dig = (scratch_dir(spark, n) for n in ("t-out", "t-arch", "t-dig"))
+    written = run_feeds(smoke_tables, a, out, arch, dig)
+    assert list(written) == ["DIGEST", "COURSES", "USERS", "ENROLLMENT", "CROSSLIST"]
+    body = _text(written["DIGEST"]["digest"])
+    assert body.startswith(V.DIGEST_HEADING + "\n\nCOURSE: ")
+    assert body.count("\nCOURSE: ") == 958
+    for name in V.FEED_ORDER:
+        assert _text(written[name]["export"]) == _text(written[name]["archive"])
