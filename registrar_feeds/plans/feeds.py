@@ -178,8 +178,7 @@ def feed_enrollment(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
 def feed_crosslist(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
     """CROSSLIST: (meeting, member code, master code), by meeting number
     (then member code, so the order is total)."""
-    base = X.meeting_sections(t, as_of)
-    out = X.crosslist_members(base, X.shared_meeting_master(base))
+    out = X.crosslist_members(t, X.shared_meeting_master(t, as_of))
     return out.orderBy("mtg_no", "crls_code")
 
 

@@ -85,13 +85,12 @@ def _meeting_window(spark, t):
 
 @query("shared_meeting_master")
 def _shared_meeting_master(spark, t):
-    return X.shared_meeting_master(X.meeting_sections(t, A))
+    return X.shared_meeting_master(t, A)
 
 
 @query("crosslist_members")
 def _crosslist_members(spark, t):
-    base = X.meeting_sections(t, A)
-    return X.crosslist_members(base, X.shared_meeting_master(base))
+    return X.crosslist_members(t, X.shared_meeting_master(t, A))
 
 
 @query("ordered_export")

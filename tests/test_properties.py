@@ -21,10 +21,15 @@ FEEDS = {
 
 
 def test_crosslist_master_is_max_and_not_a_member(smoke_tables):
-    base = X.meeting_sections(smoke_tables, A)
-    masters = X.shared_meeting_master(base)
-    expect = (base.where("in_window").groupBy("mtg_no").agg(F.max("code").alias("m"), F.count("*").alias("n"))
-                  .where("n > 1"))
+    from registrar_feeds.functions import codes as C
+    from registrar_feeds.operators import filters as Fl
+    t = smoke_tables
+    base = (t["secmtg_rec"].join(t["crs_rec"].select("crs_no", "cat", "prog"), ["crs_no", "cat"])
+            .join(Fl.meeting_window(t["mtg_rec"], A).select("mtg_no", F.col("yr").alias("m_yr"),
+                                                            F.col("sess").alias("m_sess")), "mtg_no")
+            .select("mtg_no", C.school_code("m_yr", "m_sess", "crs_no", "sec_no", "cat", "prog").alias("code")))
+    masters = X.shared_meeting_master(t, A)
+    expect = base.groupBy("mtg_no").agg(F.max("code").alias("m"), F.count("*").alias("n")).where("n > 1")
     assert masters.join(expect, "mtg_no").where("targ_code <> m").count() == 0
     assert masters.count() == expect.count()
     feed = FD.feed_crosslist(smoke_tables, A)
