@@ -23,8 +23,11 @@ def text(c: str | Column) -> Column:
 
 
 def cat(*parts: str | Column) -> Column:
-    """Null-propagating concatenation; plain ``str`` parts are literals."""
-    return F.concat(*[F.lit(p) if isinstance(p, str) else text(p) for p in parts])
+    """Null-propagating concatenation; plain ``str`` parts are literals.
+
+    Numeric parts become text by Spark's implicit cast (as with ``||``).
+    """
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
 def trim(c: str | Column) -> Column:

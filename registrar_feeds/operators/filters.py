@@ -72,9 +72,10 @@ def open_or_future(end_date: str | Column, as_of: AsOf) -> Column:
     return e.isNull() | (e > as_of.today_lit())
 
 
-def open_titles(jobs: DataFrame, rank: int, as_of: AsOf) -> DataFrame:
-    """Jobs of one title rank that are open and have a title."""
-    return jobs.where((F.col("title_rank") == rank) & open_or_future("end_date", as_of)
+def open_titles(jobs: DataFrame, ranks, as_of: AsOf) -> DataFrame:
+    """Jobs of the given title rank(s) that are open and have a title."""
+    ranks = [ranks] if isinstance(ranks, int) else list(ranks)
+    return jobs.where(F.col("title_rank").isin(*ranks) & open_or_future("end_date", as_of)
                       & F.col("job_title").isNotNull())
 
 

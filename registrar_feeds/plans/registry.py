@@ -236,10 +236,8 @@ def _primary_status(spark, t):
 @query("position_title")
 def _position_title(spark, t):
     ids = t["job_rec"].select("id").distinct()
-    j = ids
-    for r in (1, 2, 3):
-        tt = P.position_title(t, r, A).select(F.col("id").alias(f"t{r}_id"), F.col("job_title").alias(f"title{r}"))
-        j = j.join(tt, F.col(f"t{r}_id") == F.col("id"), "left").drop(f"t{r}_id")
+    titles = P.position_titles(t, A).withColumnRenamed("id", "t_id")
+    j = ids.join(titles, F.col("t_id") == F.col("id"), "left")
     return j.select("id", "title1", "title2", "title3",
                     C.position_text("title1", "title2", "title3").alias("position"))
 
@@ -247,7 +245,7 @@ def _position_title(spark, t):
 @query("user_role")
 def _user_role(spark, t):
     best = P.primary_status(P.eligible_people(t, A)).select("host_id")
-    t1 = P.position_title(t, 1, A).select(F.col("id").alias("t1_id"), "hrpay")
+    t1 = P.position_titles(t, A).select(F.col("id").alias("t1_id"), F.col("hrpay1").alias("hrpay"))
     tle = P.tle_holders(t).withColumnRenamed("id", "tle_id")
     j = (best.join(t1, F.col("t1_id") == F.col("host_id"), "left")
              .join(tle, F.col("tle_id") == F.col("host_id"), "left"))
