@@ -17,6 +17,7 @@ from registrar_feeds.operators import filters as Fl
 from registrar_feeds.operators import people as P
 from registrar_feeds.operators import sections as S
 from registrar_feeds.operators.audit import status_transitions
+from registrar_feeds.operators.joins import prefixed
 from registrar_feeds.operators.sets import union_all_by_position
 
 COURSES_COLUMNS = ("coursename", "department", "coursecode", "credits", "descr", "sectionname",
@@ -76,7 +77,8 @@ def courses_cancelled(t: dict[str, DataFrame], as_of: AsOf, school: str,
                       mp: DataFrame | None = None) -> DataFrame:
     """COURSES, second arm: recently cancelled sections, per section meeting."""
     c = S.cancelled_sections(t, as_of)
-    sm = t["secmtg_rec"].select(*[F.col(k).alias("m_" + k) for k in ("crs_no", "sec_no", "sess", "yr", "cat", "mtg_no")])
+    # same projection as in active_sections, so the planner can reuse one exchange
+    sm = prefixed(t["secmtg_rec"], "m_")
     mp = _meet_pattern_p(t) if mp is None else mp
     j = (c.join(sm, (F.col("m_crs_no") == F.col("crs_no")) & (F.col("m_sec_no") == F.col("sec_no"))
                 & (C.trim("m_sess") == F.col("sess")) & (F.col("m_yr") == F.col("yr"))
