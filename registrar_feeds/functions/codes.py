@@ -17,11 +17,6 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def text(c: str | Column) -> Column:
-    """A value as text, as ``||`` turns numbers into text."""
-    return col(c).cast("string")
-
-
 def cat(*parts: str | Column) -> Column:
     """Null-propagating concatenation; plain ``str`` parts are literals.
 

@@ -88,6 +88,11 @@ def preferred_names(addresses: DataFrame) -> DataFrame:
     return addresses.where(F.col("style") == V.PREFERRED_NAME_STYLE)
 
 
-def audit_recent_pred(as_of: AsOf, ts: str = "audit_timestamp") -> Column:
-    """Audit images from yesterday 00:00 on (exclusive)."""
-    return F.col(ts) > as_of.midnight_lit(V.AUDIT_DAYS_BACK)
+def audit_recent_pred(as_of: AsOf, ts: str = "audit_timestamp", day: str = "audit_date") -> Column:
+    """Audit images after yesterday 00:00 (exclusive).
+
+    The staged audit date carries the implied bound ``date >= yesterday``: it
+    changes no result and is the form Parquet statistics can skip data on.
+    """
+    return ((F.col(day) >= F.lit(as_of.days_ago(V.AUDIT_DAYS_BACK)))
+            & (F.col(ts) > as_of.midnight_lit(V.AUDIT_DAYS_BACK)))

@@ -4,7 +4,7 @@ from registrar_feeds.sources.fixtures import derive_tables, duckdb_ctes
 from registrar_feeds.sources.registrar import (
     ENVIRONMENTS, check_env, read_tables, stage, stage_table, table_path, write_tables,
 )
-from registrar_feeds.sources.schemas import KEY_COLUMNS, SCHEMAS, TABLES
+from registrar_feeds.sources.schemas import KEY_COLUMNS, SCHEMAS, TABLES, staged_schema
 
 
 def fixture_tables(spark, sf_dir: str) -> dict:
@@ -15,5 +15,5 @@ def fixture_tables(spark, sf_dir: str) -> dict:
 __all__ = [
     "ENVIRONMENTS", "KEY_COLUMNS", "SCHEMAS", "TABLES", "check_env", "derive_tables",
     "duckdb_ctes", "fixture_tables", "read_tables", "stage", "stage_table", "table_path",
-    "write_tables",
+    "staged_schema", "write_tables",
 ]

@@ -53,6 +53,20 @@ SCHEMAS: dict[str, T.StructType] = {
 
 TABLES = tuple(SCHEMAS)
 
+# Columns staging adds (derived from the source columns), appended to the
+# source schema.  The audit date lets the daily audit window skip data by
+# Parquet statistics: filters on naive timestamps are not pushed into
+# Parquet row-group filtering, filters on dates are.
+STAGED_EXTRA: dict[str, tuple[tuple[str, T.DataType], ...]] = {
+    "audit_sec_rec": (("audit_date", D),),
+}
+
+
+def staged_schema(name: str) -> T.StructType:
+    """Schema of a staged table: the source schema plus ``STAGED_EXTRA``."""
+    extra = [T.StructField(n, t, True) for n, t in STAGED_EXTRA.get(name, ())]
+    return T.StructType(list(SCHEMAS[name].fields) + extra)
+
 # Join / compare keys and flags, right-trimmed at staging.
 KEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "jenzcrs_rec": ("course_code", "sec", "term_code"),
@@ -76,5 +90,16 @@ KEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "audit_sec_rec": ("crs_no", "sec_no", "cat", "yr", "sess", "stat"),
 }
 
+# Write order inside each staged file: the columns the feeds filter on by
+# range (run-date windows), so Parquet row-group statistics let scans skip
+# what a window excludes.  Tables not listed are written as they come.
+CLUSTER_COLUMNS: dict[str, tuple[str, ...]] = {
+    "audit_sec_rec": ("audit_date", "audit_timestamp"),
+    "sec_rec": ("end_date", "stat_date"),
+    "mtg_rec": ("end_date", "beg_date"),
+    "jenztrm_rec": ("end_date", "start_date"),
+    "job_rec": ("id",),
+}
+
 # Where the audit table lives: a second database at the source.
 AUDIT_NAMESPACE = "audit"

@@ -70,6 +70,7 @@ def test_filters_pushed_to_scans(stored_tables):
     plan = _plan(FD.feed_cancelled_courses(stored_tables, A))
     assert "EqualTo(stat,X)" in plan and "Not(EqualTo(stat,X))" in plan
     assert "GreaterThan(audit_timestamp,1998-07-14T00:00)" in plan
+    assert "GreaterThanOrEqual(audit_date,1998-07-14)" in plan
 
 
 def test_stored_tables_give_the_same_feeds(stored_tables, smoke_tables):

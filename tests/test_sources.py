@@ -2,7 +2,7 @@
 
 import pytest
 
-from registrar_feeds.sources import SCHEMAS, check_env, stage_table, table_path
+from registrar_feeds.sources import SCHEMAS, check_env, stage_table, staged_schema, table_path
 
 
 def test_environment_switch():
@@ -28,4 +28,4 @@ def test_staging_trims_keys_keeps_payload_and_conforms_types(spark):
 def test_fixture_tables_have_schemas(smoke_tables):
     for name, df in smoke_tables.items():
         assert [(f.name, f.dataType) for f in df.schema] == \
-            [(f.name, f.dataType) for f in SCHEMAS[name]], name
+            [(f.name, f.dataType) for f in staged_schema(name)], name
