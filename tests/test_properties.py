@@ -82,3 +82,26 @@ def test_stored_tables_give_the_same_feeds(stored_tables, smoke_tables):
 def test_users_top1_is_window_group_limit(smoke_tables):
     plan = _plan(FD.feed_users(smoke_tables, A))
     assert "WindowGroupLimit" in plan
+
+
+def test_history_scans_get_runtime_filters_at_scale(spark, stored_tables):
+    """With no side small enough to broadcast and scans over the (10 GB)
+    threshold - simulated here by lowering both bounds - Spark puts runtime
+    bloom filters from the current-term side onto the history scans."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1KB"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        for build in (FEEDS["courses"], FEEDS["enrollment"]):
+            plan = _plan(build(stored_tables))
+            assert "might_contain" in plan
+            assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
