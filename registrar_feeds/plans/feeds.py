@@ -43,15 +43,10 @@ def _meet_pattern_p(t) -> DataFrame:
 def courses_active(t: dict[str, DataFrame], as_of: AsOf, school: str,
                    mp: DataFrame | None = None) -> DataFrame:
     """COURSES, first arm: one row per active section meeting."""
-    a = S.active_sections(t, as_of)
-    ins = S.section_instructor(t)
-    ins = ins.select(*[F.col(c).alias("i_" + c) for c in ins.columns])
+    a = S.join_instructor(S.active_sections(t, as_of), t)
     st = t["sess_table"].select(F.col("sess").alias("st_sess"), F.col("txt").alias("sess_txt"))
     mp = _meet_pattern_p(t) if mp is None else mp
-    j = (a.join(ins, (F.col("i_sec_no") == F.col("sec_no")) & (F.col("i_crs_no") == F.col("crs_no"))
-                & (F.col("i_cat") == F.col("cat")) & (F.col("i_yr") == F.col("yr"))
-                & (F.col("i_sess") == F.col("sess")))
-          .join(st, F.col("st_sess") == F.col("sess"))
+    j = (a.join(st, F.col("st_sess") == F.col("sess"))
           .join(mp, (F.col("mp_crs_no") == F.col("crs_no")) & (F.col("mp_yr") == C.key_year("coursekey"))
                 & (F.col("mp_mtg_no") == F.col("mtg_no")), "left"))
     mt = C.merge_pattern("x", "y")
