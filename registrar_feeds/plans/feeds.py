@@ -179,17 +179,22 @@ def feed_crosslist(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
     return out.orderBy("mtg_no", "crls_code")
 
 
-def feed_cancelled_courses(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
-    """CANCELLED_COURSES: recent status changes to or from cancelled, with
-    the course title, by course and section number."""
+def cancelled_courses(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
+    """CANCELLED_COURSES rows, unordered: recent status changes to or from
+    cancelled, with the course title."""
     tr = status_transitions(t["audit_sec_rec"], as_of)
     ir = t["id_rec"].select(F.col("id").alias("i_id"))
     cr = t["crs_rec"].select(F.col("crs_no").alias("r_crs_no"), F.col("cat").alias("r_cat"),
                              "title1", "title2", "title3")
     j = (tr.join(ir, F.col("i_id") == F.col("fac_id"))
            .join(cr, (F.col("r_crs_no") == F.col("crs_no")) & (F.col("r_cat") == F.col("cat"))))
-    out = j.select("crs_no", "sec_no", "sess", "yr",
-                   C.course_title("title1", "title2", "title3").alias("title"),
-                   "beg_date", "end_date", "stat", "stat_date", "schd_upd_date", "oldstat", "newstat",
-                   "audit_timestamp")
-    return out.orderBy(*[F.col(c).asc_nulls_first() for c in CANCELLED_COLUMNS])
+    return j.select("crs_no", "sec_no", "sess", "yr",
+                    C.course_title("title1", "title2", "title3").alias("title"),
+                    "beg_date", "end_date", "stat", "stat_date", "schd_upd_date", "oldstat", "newstat",
+                    "audit_timestamp")
+
+
+def feed_cancelled_courses(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
+    """CANCELLED_COURSES by course and section number (then the remaining
+    columns, so the order is total)."""
+    return cancelled_courses(t, as_of).orderBy(*[F.col(c).asc_nulls_first() for c in CANCELLED_COLUMNS])

@@ -160,7 +160,7 @@ def _status_transitions(spark, t):
 
 @query("digest_cancelled")
 def _digest(spark, t):
-    return digest_lines(FD.feed_cancelled_courses(t, A), A)
+    return digest_lines(FD.cancelled_courses(t, A), A)
 
 
 # --- section operators -------------------------------------------------------------
