@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrar_feeds.sources.schemas import (
-    AUDIT_NAMESPACE, CLUSTER_COLUMNS, KEY_COLUMNS, SCHEMAS, STAGED_EXTRA, TABLES, staged_schema,
+    AUDIT_NAMESPACE, CLUSTER_COLUMNS, KEY_COLUMNS, PARTITION_COLUMNS, SCHEMAS, STAGED_EXTRA, TABLES,
+    staged_schema,
 )
 
 # How staging derives the STAGED_EXTRA columns.
@@ -80,20 +81,29 @@ def read_tables(spark: SparkSession, base: str, env: str = "live",
 
 
 def write_tables(tables: dict[str, DataFrame], base: str, env: str = "live",
-                 row_group_bytes: int | None = None, cluster: bool = True) -> None:
+                 row_group_bytes: int | None = None, cluster: bool = True,
+                 partition: bool = True) -> None:
     """Write staged tables as Parquet, one folder per table.
 
-    ``cluster`` sorts rows inside each output file by the table's
-    ``CLUSTER_COLUMNS`` (no shuffle), so row-group statistics let the date
-    windows of the feeds skip row groups.  ``row_group_bytes`` sets the
+    ``partition`` writes the history tables of ``PARTITION_COLUMNS`` in one
+    directory per year (read back with the same columns; the partition
+    column comes last).  ``cluster`` sorts rows inside each output file by the
+    table's ``CLUSTER_COLUMNS`` (no shuffle), so row-group statistics let the
+    date windows of the feeds skip row groups.  ``row_group_bytes`` sets the
     Parquet row-group size: scans split at row groups, so it bounds the read
     parallelism of small tables (keep the default, 128 MB, for large ones).
     """
     for name in TABLES:
         df = tables[name]
-        if cluster and name in CLUSTER_COLUMNS:
-            df = df.sortWithinPartitions(*CLUSTER_COLUMNS[name])
+        parts = PARTITION_COLUMNS.get(name, ()) if partition else ()
+        order = tuple(parts) + (CLUSTER_COLUMNS.get(name, ()) if cluster else ())
+        if order:
+            # partition columns first: the partitioned writer needs that
+            # order and would otherwise re-sort, losing the clustering
+            df = df.sortWithinPartitions(*order)
         w = df.write.mode("overwrite")
+        if parts:
+            w = w.partitionBy(*parts)
         if row_group_bytes:
             w = w.option("parquet.block.size", str(row_group_bytes))
         w.parquet(table_path(base, env, name))

@@ -74,7 +74,7 @@ def test_filters_pushed_to_scans(stored_tables):
 
 
 def test_stored_tables_give_the_same_feeds(stored_tables, smoke_tables):
-    for name in ("crosslist", "enrollment"):
+    for name in sorted(FEEDS):
         a, b = FEEDS[name](stored_tables), FEEDS[name](smoke_tables)
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -105,3 +105,11 @@ def test_history_scans_get_runtime_filters_at_scale(spark, stored_tables):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_section_history_pruned_to_current_years(stored_tables):
+    """Year-partitioned section history: the course feed's scans of it (the
+    meeting pattern's too) carry dynamic partition pruning."""
+    plan = _plan(FEEDS["courses"](stored_tables))
+    blocks = [b for b in plan.split("\n\n") if "Scan parquet" in b and "secmtg_rec" in b]
+    assert blocks and all("dynamicpruningexpression(yr" in b for b in blocks)
