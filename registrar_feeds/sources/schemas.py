@@ -103,11 +103,11 @@ CLUSTER_COLUMNS: dict[str, tuple[str, ...]] = {
 
 # Directory partitioning of the staged history tables.  The course feeds join
 # section history on the year of the current (or just cancelled) sections, so
-# Spark's dynamic partition pruning reads only those years of it.
+# Spark's dynamic partition pruning reads only those years of it.  (Meetings
+# are not partitioned: their year never reaches a join directly.)
 PARTITION_COLUMNS: dict[str, tuple[str, ...]] = {
     "secmtg_rec": ("yr",),
     "sec_rec": ("yr",),
-    "mtg_rec": ("yr",),
 }
 
 # Where the audit table lives: a second database at the source.
