@@ -40,17 +40,17 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster it is set by the job and only read here; when it is unset
-    (tests, local runs) a local temporary folder is set as it.
+    On a cluster it is set by the job and only read here.  When it is unset
+    (tests, local runs) a local temporary folder becomes the context's
+    checkpoint folder; the core setting itself cannot change at run time.
     """
     sc = spark.sparkContext
-    base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="registrar-feeds-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(base)
-    return base
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="registrar-feeds-")
+    sc.setCheckpointDir(base)
+    return sc.getCheckpointDir() or base
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

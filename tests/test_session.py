@@ -1,0 +1,30 @@
+"""The shared checkpoint folder when none is configured (a fresh process
+whose Spark config directory is empty)."""
+
+import os
+import subprocess
+import sys
+import tempfile
+
+from tests.conftest import ROOT
+
+SCRIPT = """
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+from registrar_feeds.session import checkpoint_root, scratch_dir
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+root = checkpoint_root(spark)
+assert root and checkpoint_root(spark) == root and scratch_dir(spark, "x").startswith(root)
+df = spark.range(10).checkpoint(eager=True)
+print("OK", df.count())
+"""
+
+
+def test_checkpoint_root_without_configured_folder():
+    env = dict(os.environ, SPARK_CONF_DIR=tempfile.mkdtemp(prefix="empty-conf-"))
+    out = subprocess.run([sys.executable, "-c", SCRIPT.format(root=ROOT)], env=env,
+                         capture_output=True, text=True, timeout=300)
+    assert "OK 10" in out.stdout, out.stderr[-2000:]
