@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from registrar_feeds.llm import mixing
+from registrar_feeds.llm import mixing, packing
 
 QUERIES = {
+    "op2_pack": packing.op2_pack,
     "op10_mix": mixing.op10_mix,
 }
 
