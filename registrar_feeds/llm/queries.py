@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from registrar_feeds.llm import mixing, packing
+from registrar_feeds.llm import exact_dedup, line_dedup, mixing, packing
 
 QUERIES = {
     "op2_pack": packing.op2_pack,
+    "op3_line_dedup": line_dedup.op3_line_dedup,
+    "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op10_mix": mixing.op10_mix,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_line_dedup": line_dedup.OP3_SQL,
+    "op5_exact_dedup": exact_dedup.OP5_SQL,
+}
