@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from registrar_feeds.llm import exact_dedup, language_id, line_dedup, mixing, packing
+from registrar_feeds.llm import exact_dedup, language_id, license_scan, line_dedup, mixing, packing
 
 QUERIES = {
     "op2_pack": packing.op2_pack,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op7_license_scan": license_scan.op7_license_scan,
     "op9_language_id": language_id.op9_language_id,
     "op10_mix": mixing.op10_mix,
 }
