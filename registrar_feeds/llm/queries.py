@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from registrar_feeds.llm import exact_dedup, html_text, language_id, license_scan, line_dedup, mixing, packing
+from registrar_feeds.llm import (
+    exact_dedup,
+    html_text,
+    language_id,
+    license_scan,
+    line_dedup,
+    mixing,
+    packing,
+    topk_search,
+)
 
 QUERIES = {
     "op2_pack": packing.op2_pack,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_html_text": html_text.op4_html_text,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_topk_search": topk_search.op6_topk_search,
     "op7_license_scan": license_scan.op7_license_scan,
     "op9_language_id": language_id.op9_language_id,
     "op10_mix": mixing.op10_mix,
@@ -16,6 +26,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": line_dedup.OP3_SQL,
-    "op4_html_text": html_text.op4_html_text,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
+    "op6_topk_search": topk_search.OP6_SQL,
 }
