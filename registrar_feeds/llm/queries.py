@@ -10,10 +10,12 @@ from registrar_feeds.llm import (
     line_dedup,
     mixing,
     packing,
+    pii,
     topk_search,
 )
 
 QUERIES = {
+    "op1_pii": pii.op1_pii,
     "op2_pack": packing.op2_pack,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_html_text": html_text.op4_html_text,
