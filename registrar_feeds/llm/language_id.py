@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,7 +36,7 @@ FIT_ROWS = 2048
 LANDMARKS = 128
 RIDGE = 0.1
 GRAM_BITS = 16
-BATCH = 256
+BATCH = 64
 UND = "und"
 
 
@@ -52,14 +52,13 @@ class Grams:
                 code[p] = (ord(c.lower()[0]) * 2654435761 & 0xFFFFFFFF) | 1
         self.code = code
 
-    def __call__(self, text: str | None) -> np.ndarray | None:
-        """Flags, or None if the text has no letter."""
+    def __call__(self, text: str | None, flags: np.ndarray) -> bool:
+        """Sets the flags of the text's n-grams; False if it has no letter."""
         if not text:
-            return None
+            return False
         c = self.code[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
         if not c.any():
-            return None
-        flags = np.zeros(1 << GRAM_BITS, bool)
+            return False
         shift = np.uint32(32 - GRAM_BITS)
         letter = c != 0
         flags[c[letter] * np.uint32(0x9E3779B1) >> shift] = True
@@ -70,7 +69,7 @@ class Grams:
         if len(c) > 2:
             three = two[:-1] * np.uint32(0x27D4EB2F) + c[2:]
             flags[three[letter[1:-1]] * np.uint32(0x165667B1) >> shift] = True
-        return flags
+        return True
 
 
 def grams() -> Grams:
@@ -127,8 +126,7 @@ def held_out(doc_id: Column) -> Column:
 
 def train(docs: DataFrame, fit_rows: int = FIT_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
     """The model of the rows of ``docs`` that are not held out."""
-    rows = docs.where(docs["doc_id"].isNotNull() & ~held_out(docs["doc_id"]) & docs["lang"].isNotNull()
-                      & docs["text"].rlike(r"\p{L}"))
+    rows = docs.where(docs["doc_id"].isNotNull() & ~held_out(docs["doc_id"]) & docs["lang"].isNotNull())
     count = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not count:
         return None
@@ -136,25 +134,25 @@ def train(docs: DataFrame, fit_rows: int = FIT_ROWS, landmarks: int = LANDMARKS,
     # a thin slice of each language by hash, then the first of it by hash order
     rate = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, 4 * per / n))) for k, n in sorted(count.items())])
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    first = (rows.where(place < rate * (1 << 30)).select("lang", "text", place.alias("__place"), "doc_id")
-             .orderBy("__place", "doc_id"))
+    order = Window.partitionBy("lang").orderBy("__place", "doc_id", "text")
+    sample = (rows.where(place < rate * (1 << 30)).select("lang", "text", place.alias("__place"), "doc_id")
+              .withColumn("__rank", F.row_number().over(order)).where(F.col("__rank") <= per)
+              .select("lang", "text", "__rank"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g = grams()
+        g, flags = grams(), np.zeros(1 << GRAM_BITS, bool)
         for rb in batches:
-            got = [(x, p, d, g(t)) for x, t, p, d in zip(*(rb[c].to_pylist() for c in ("lang", "text", "__place", "doc_id")), strict=True)]
-            got = [(x, p, d, np.packbits(f).tobytes()) for x, p, d, f in got if f is not None]
-            if got:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*got, strict=True), (pa.string(), pa.int64(), pa.int64(), pa.binary()), strict=True)], ["lang", "place", "doc_id", "bits"])
+            out = []
+            for lang, rank, text in zip(rb["lang"].to_pylist(), rb["__rank"].to_pylist(), rb["text"], strict=True):
+                flags[:] = False
+                if g(text.as_py(), flags):
+                    out.append((lang, rank, np.packbits(flags).tobytes()))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.binary()), strict=True)], ["lang", "rank", "bits"])
 
-    flags, langs = [], []
-    got: dict[str, int] = {}
-    for r in first.mapInArrow(sets, "lang string, place long, doc_id long, bits binary").limit(8 * fit_rows).toLocalIterator():
-        if got.get(r["lang"], 0) < per:
-            got[r["lang"]] = got.get(r["lang"], 0) + 1
-            flags.append(np.unpackbits(np.frombuffer(r["bits"], np.uint8)).astype(bool))
-            langs.append(r["lang"])
-    return fit(np.array(flags), langs, landmarks, ridge)
+    got = sorted(sample.mapInArrow(sets, "lang string, rank int, bits binary").collect())
+    flags = np.unpackbits(np.array([np.frombuffer(r["bits"], np.uint8) for r in got], np.uint8).reshape(len(got), -1), axis=1)
+    return fit(flags.astype(bool), [r["lang"] for r in got], landmarks, ridge)
 
 
 def identify(docs: DataFrame, model: Model | None, batch: int = BATCH) -> DataFrame:
@@ -162,15 +160,16 @@ def identify(docs: DataFrame, model: Model | None, batch: int = BATCH) -> DataFr
     plus one, within 0 and 1) appended."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        g = grams()
+        g, flags = grams(), np.zeros((batch, 1 << GRAM_BITS), bool)
         for rb in batches:
-            texts = rb["text"].to_pylist()
-            lang, score = [UND] * len(texts), [0.0] * len(texts)
-            for at in range(0, len(texts) if model else 0, batch):
-                sets = [(i, f) for i in range(at, min(at + batch, len(texts))) if (f := g(texts[i])) is not None]
-                if sets:
-                    s = model.scores(np.array([f for _, f in sets]))
-                    for (i, _), k, v in zip(sets, s.argmax(1), s.max(1), strict=True):
+            lang, score = [UND] * rb.num_rows, [0.0] * rb.num_rows
+            for at in range(0, rb.num_rows if model else 0, batch):
+                texts = rb["text"].slice(at, batch).to_pylist()
+                flags[:] = False
+                rows = [i for i, t in enumerate(texts) if g(t, flags[i])]
+                if rows:
+                    s = model.scores(flags[rows])
+                    for i, k, v in zip((at + i for i in rows), s.argmax(1), s.max(1), strict=True):
                         lang[i], score[i] = model.langs[k], float(min(1.0, max(0.0, (v + 1) / 2)))
             yield pa.RecordBatch.from_arrays([*rb.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                                              [*rb.schema.names, "__lang_pred", "__score"])
