@@ -9,6 +9,7 @@ from registrar_feeds.llm import (
     license_scan,
     line_dedup,
     mixing,
+    ngram_join,
     packing,
     pii,
     topk_search,
@@ -22,6 +23,7 @@ QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_topk_search": topk_search.op6_topk_search,
     "op7_license_scan": license_scan.op7_license_scan,
+    "op8_ngram_join": ngram_join.op8_ngram_join,
     "op9_language_id": language_id.op9_language_id,
     "op10_mix": mixing.op10_mix,
 }
