@@ -186,7 +186,7 @@ def stretches(weights: list[int], window: int = WINDOW, surge: float = SURGE) ->
         while dive < len(sums) and sums[dive]:
             dive += 1
         if max(sums[at:dive]) >= surge * most:
-            out.append((max(0, at + 1 - window), min(n, dive)))
+            out.append((at, min(n, dive - window + 1)))  # the weighing lines at both ends
         at = dive
     return out
 

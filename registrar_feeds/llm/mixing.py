@@ -210,7 +210,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     columns = docs.columns
     mix = Mix(docs, columns, **options)
-    spans = mix.pieces.groupBy("__uid", "pass").agg(
+    spans = mix.pieces.groupBy("__uid", F.col("pass").alias("__pass")).agg(
         F.sort_array(F.collect_list(F.struct("first", "words"))).alias("__spans"),
         F.sum("words").alias("__taken"))
     word = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]*+"), F.lit(0))

@@ -1,0 +1,67 @@
+import collections
+
+import corpus_pipeline as C
+import __spark_entry__ as entry
+from registrar_feeds.llm import language_id, line_dedup, packing
+from registrar_feeds.llm.common import kept
+from tests.llm.helpers import CLASH, documents, edge_rows
+from tests.llm.test_line_dedup import brute as lines_by_hand
+from tests.llm.test_ngram_join import corpus, groups
+
+SMOKE = "/root/testdata/sf0.001"
+
+
+def test_every_operator_is_registered():
+    names = entry.queries()
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()} == set(range(1, 11))
+    assert "pipeline" in names and len(C.STAGES) == 5
+    assert set(entry.oracle_sql()) <= set(names)
+
+
+def test_stages_one_by_one(spark):
+    rows = [(d, t, "en", "s0", len(t or "")) for d, t in corpus(3)] + [(r[0], r[1], r[2], r[3], 0) for r in edge_rows(700)]
+    docs = documents(spark, [r[:4] for r in rows], CLASH)
+    columns = docs.columns
+    stages = dict(C.STAGES)
+
+    out = kept(stages["language"](spark, docs, ""), "t")
+    assert out.columns == columns
+    want = collections.Counter((r[0], r[1]) for r in rows if any(c.isalpha() for c in r[1] or ""))
+    assert collections.Counter((r["doc_id"], r["text"]) for r in out.collect()) == want
+
+    before = [(r["doc_id"], r["text"], r["lang"], r["source"]) for r in out.collect()]
+    out = kept(stages["lines"](spark, out, ""), "t")
+    assert out.columns == columns
+    assert sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str) == lines_by_hand(before)
+    assert all(r["n_chars"] == len(r["text"]) for r in out.collect())
+
+    before = [(r["doc_id"], r["text"]) for r in out.collect()]
+    out = kept(stages["near_duplicates"](spark, out, ""), "t")
+    assert out.columns == columns
+    _, found = groups(before)
+    left = collections.Counter(r["doc_id"] for r in out.collect())
+    assert sum(left.values()) == len(found)
+    assert left == collections.Counter(min((before[i][0] for i in g if before[i][0] is not None), default=None) for g in found)
+
+    before = out.collect()
+    out = kept(stages["mix"](spark, out, ""), "t")
+    assert out.columns == columns and {r["doc_id"] for r in out.collect()} <= {r["doc_id"] for r in before}
+    n_words = sum(len(r["text"].split()) for r in out.collect())
+    assert abs(n_words - 1.5 * sum(len(r["text"].split()) for r in before)) <= 10
+
+    texts = collections.Counter(r["text"] for r in out.collect())
+    pieces = stages["pack"](spark, out, "").toPandas()
+    encode = packing.encoder()
+    assert pieces.length.sum() == sum(n * (len(encode(t)) + 1) for t, n in texts.items())
+
+
+def test_run(spark):
+    out = C.run(spark, SMOKE)
+    assert {"doc_id", "ids", "sequence_id", "offset"} <= set(out.columns) and out.count() > 100
+
+
+def test_rejected_documents_have_no_letters(spark):
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
+    kept_ids = C.language(spark, docs, SMOKE).count()
+    assert kept_ids == docs.where(docs["text"].rlike(r"\p{L}")).count()
+    assert language_id.UND == "und" and line_dedup.RATIO < 1
