@@ -39,7 +39,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from registrar_feeds.llm.common import LOWER, UPPER, kept, table, text_or_empty
@@ -445,5 +445,27 @@ def component_ids(groups: DataFrame) -> DataFrame:
     return groups.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest
+    doc_id, one of these if several share it.  All columns stay."""
+    groups = kept(near_groups(docs, **options), "ngram-groups")
+    no_id = F.lit(-(1 << 62)).cast("long")
+    best = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid", "th", "n")).alias("b"))
+    stay = best.select(F.coalesce("b.doc_id", no_id).alias("__id"), F.col("b.th").alias("__th"))
+    # rows equal in doc_id and text are copies, or have no words: as many stay as are named
+    named = kept(stay.groupBy("__id", "__th").agg(F.count(F.lit(1)).alias("__named")), "ngram-stay")
+    rows = docs.withColumn("__id", F.coalesce(docs["doc_id"].cast("long"), no_id)).withColumn("__th", F.xxhash64(text_or_empty(docs)))
+    there = groups.groupBy(F.coalesce("doc_id", no_id).alias("__id"), F.col("th").alias("__th")).agg(F.count(F.lit(1)).alias("__there"))
+    known = kept(named.join(there, ["__id", "__th"]), "ngram-named")
+    kept_rows = rows.join(known, ["__id", "__th"])
+    sure = kept_rows.where("__named = __there").select(*docs.columns)
+    if known.where("__named < __there").isEmpty():
+        return sure
+    turn = Window.partitionBy("__id", "__th").orderBy(*[F.col(c).cast("string") for c in docs.columns])
+    some = (kept_rows.where("__named < __there").withColumn("__turn", F.row_number().over(turn))
+            .where("__turn <= __named").select(*docs.columns))
+    return sure.unionByName(some)
+
+
 def op8_ngram_join(spark, sf_dir):
     return component_ids(near_groups(table(spark, sf_dir, "documents")))
