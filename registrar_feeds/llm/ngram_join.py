@@ -426,7 +426,7 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, un
     wanted = ones.select("uid", "cc", "n", "__total", "th", F.coalesce("doc_id", no_id).alias("__id"))
     texts = (docs.select(F.coalesce(docs["doc_id"].cast("long"), no_id).alias("__id"), text_or_empty(docs).alias("text"))
              .withColumn("th", F.xxhash64("text")))
-    members = texts.join(wanted, ["__id", "th"])
+    members = texts.join(wanted.hint("merge"), ["__id", "th"])  # the same plan at every size
     small = _join_tiles(members.where(F.col("__total") <= tile_shingles).select(
         "cc", "uid", F.col("uid").alias("label"), F.lit(False).alias("side"), "text").dropDuplicates(["uid"]), ["cc"], False, size, percent)
     links = kept(small, "ngram-links")
