@@ -11,7 +11,10 @@ Layout:
     operators/  DataFrame -> DataFrame operators (filters, joins, ranking, ...)
     plans/      the five feeds, the multi-feed run and the query registry
     sinks/      CSV export, timestamped archive, cancellation digest
-    streaming/  nothing: the feeds are full re-extracts (see its docstring)
+    llm/        operators for training-data corpora (self-contained)
+
+The feeds are full re-extracts of the registrar tables: there is no stream,
+watermark or late data in them, so nothing here is a streaming query.
 """
 
 from registrar_feeds.asof import AsOf

@@ -60,8 +60,17 @@ def term_code(sess, yr, prog) -> Column:
 
 def school_code(yr, sess, crs_no, sec_no, cat_, prog) -> Column:
     """``yr;sess;crs_no;sec_no;cat;prog`` (section school code, coursekey)."""
-    return cat(col(yr), ";", trim(sess), ";", trim(crs_no), ";", trim(sec_no), ";",
-               trim(cat_), ";", trim(prog))
+    return cat(school_code_head(yr, sess), school_code_tail(crs_no, sec_no, cat_, prog))
+
+
+def school_code_head(yr, sess) -> Column:
+    """``yr;sess``: the part of a section school code that its meeting gives."""
+    return cat(col(yr), ";", trim(sess))
+
+
+def school_code_tail(crs_no, sec_no, cat_, prog) -> Column:
+    """``;crs_no;sec_no;cat;prog``: the part that its section gives."""
+    return cat(";", trim(crs_no), ";", trim(sec_no), ";", trim(cat_), ";", trim(prog))
 
 
 def section_code(crs_no, sec_no, sess, yr, prog) -> Column:
@@ -111,8 +120,12 @@ def credits_text(hrs) -> Column:
 
 
 def to_number(c) -> Column:
-    """A numeric id held as text; bad text gives null."""
-    return trim(c).try_cast("bigint")
+    """A numeric id held as text; null stays null, text that is no whole number
+    fails the query (a silent null would drop or misname the person)."""
+    text = trim(c)
+    number = text.try_cast("bigint")
+    return (F.when(text.isNull() | number.isNotNull(), number)
+             .otherwise(F.raise_error(F.concat(F.lit("not a numeric id: "), text)).cast("bigint")))
 
 
 def id_text(c) -> Column:

@@ -17,18 +17,15 @@ def null_aware_anti_join(left: DataFrame, key: str | Column, right: DataFrame,
 
     NOT IN is three-valued: an empty set keeps every row (null keys too); a
     null in the set keeps none; otherwise rows with a null key drop and the
-    rest is a plain anti join.  The set is summarised by one tiny global
-    aggregate (a single row, computed on the executors), then an ordinary
-    equi anti join runs, which the planner broadcasts or shuffles by the
-    set's measured size.  Spark's own NOT IN plan would always broadcast the
-    set (a nested-loop join when it is not small).
+    rest is a plain anti join.  The size of the set and its nulls are scalar
+    subqueries, read when the plan runs (building it starts no job); then an
+    ordinary equi anti join runs, which the planner broadcasts or shuffles by
+    the set's measured size.  Spark's own NOT IN plan would always broadcast
+    the set (a nested-loop join when it is not small).
     """
     k = F.col(key) if isinstance(key, str) else key
-    stats = right.agg(F.count(F.lit(1)).alias("n"),
-                      F.count_if(F.col(right_key).isNull()).alias("n_null")).first()
-    if stats["n"] == 0:
-        return left
-    if stats["n_null"] > 0:
-        return left.where(F.lit(False))
+    stats = right.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(right_key).isNull()).alias("n_null"))
+    n, n_null = stats.select("n").scalar(), stats.select("n_null").scalar()
     keys = right.select(F.col(right_key).alias("__not_in_key")).where(F.col("__not_in_key").isNotNull())
-    return left.where(k.isNotNull()).join(keys, k == F.col("__not_in_key"), "left_anti")
+    return (left.where((n == 0) | (k.isNotNull() & (n_null == 0)))
+                .join(keys, k == F.col("__not_in_key"), "left_anti"))

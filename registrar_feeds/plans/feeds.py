@@ -20,15 +20,9 @@ from registrar_feeds.operators.audit import status_transitions
 from registrar_feeds.operators.joins import prefixed
 from registrar_feeds.operators.sets import union_all_by_position
 
-COURSES_COLUMNS = ("coursename", "department", "coursecode", "credits", "descr", "sectionname",
-                   "secschoolcode", "sectioncode", "secdescr", "location", "school",
-                   "gradingperiod", "sec_status")
 USERS_COLUMNS = ("firstname", "preferred_first_name", "middlename", "lastname", "name_prefix",
                  "username", "email", "uniqueid", "role", "school", "lms_id", "position", "pwd",
                  "gender", "gradyr", "additional_schools")
-ENROLLMENT_COLUMNS = ("coursecode", "sectioncode", "secschoolcode", "uniqueuserid",
-                      "enrollmenttype", "gradeperiod", "start_date", "enroll_status")
-CROSSLIST_COLUMNS = ("mtg_no", "crls_code", "targ_code")
 CANCELLED_COLUMNS = ("crs_no", "sec_no", "sess", "yr", "title", "beg_date", "end_date", "stat",
                      "stat_date", "schd_upd_date", "oldstat", "newstat", "audit_timestamp")
 
@@ -103,8 +97,10 @@ def courses_cancelled(t: dict[str, DataFrame], as_of: AsOf, school: str,
 def feed_courses(t: dict[str, DataFrame], as_of: AsOf, school: str = V.DEFAULT_SCHOOL) -> DataFrame:
     """COURSES: active section meetings UNION ALL recently cancelled ones.
 
-    The meeting pattern is one DataFrame joined by both arms.
+    Section history is cut to the years at hand first; the meeting pattern is
+    one DataFrame joined by both arms.
     """
+    t = S.recent_history(t, as_of)
     mp = _meet_pattern_p(t)
     return union_all_by_position(courses_active(t, as_of, school, mp),
                                  courses_cancelled(t, as_of, school, mp))
@@ -122,24 +118,28 @@ def feed_users(t: dict[str, DataFrame], as_of: AsOf, school: str = V.DEFAULT_SCH
 def enrollment_open(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
     """ENROLLMENT, first arm: enrolments in offered sections of current terms.
 
-    The section master is joined without the year, so a section repeats
-    for each year it was taught (kept: it is the feed's multiplicity).
+    Enrolments are cut to the in-window terms first (a direct join on the
+    partition column, so only those terms' folders are read; the window holds a
+    few terms of each programme, hence the broadcast), then by NOT IN.  The
+    section master is joined without the year, so a section repeats for each
+    year it was taught (kept: it is the feed's multiplicity).
     """
-    crp = (t["jenzcrp_rec"].where(Fl.program_ok_by_term("term_code"))
+    trm = Fl.term_window(t["jenztrm_rec"], as_of).select(F.col("term_code").alias("t_term_code"), "start_date")
+    codes = F.broadcast(trm.select(F.col("t_term_code").alias("w_term_code")).distinct())
+    crp = (t["jenzcrp_rec"].join(codes, F.col("w_term_code") == F.col("term_code"), "left_semi")
+           .where(Fl.program_ok_by_term("term_code"))
            .withColumn("uid", C.to_number("host_id")))
     crp = P.preff_exclusion(crp, "uid", t["role_rec"], as_of)
     crp = crp.select(F.col("course_code").alias("e_course_code"), F.col("sec").alias("e_sec"),
                      F.col("term_code").alias("e_term_code"), "uid", F.col("status_code").alias("e_status"))
-    crs = t["jenzcrs_rec"]
-    trm = Fl.term_window(t["jenztrm_rec"], as_of).select(F.col("term_code").alias("t_term_code"), "start_date")
-    sr = (S.with_course_key(t["sec_rec"].select("crs_no", "cat", "sec_no", "sess", "subsess"), "s_course_key")
-          .select("s_course_key", F.col("sec_no").alias("s_sec_no"),
-                  C.trim("sess").alias("s_sess"), F.col("subsess").alias("s_subsess")))
+    crs = t["jenzcrs_rec"].join(codes, F.col("w_term_code") == F.col("term_code"), "left_semi")
+    sr = t["sec_rec"].select(F.col("course_key").alias("s_course_key"), F.col("sec_no").alias("s_sec_no"),
+                             C.trim("sess").alias("s_sess"), F.col("subsess").alias("s_subsess"))
     j = (crs.join(trm, F.col("t_term_code") == F.col("term_code"))
             .join(crp, (F.col("e_course_code") == F.col("course_code")) & (F.col("e_sec") == F.col("sec"))
                   & (F.col("e_term_code") == F.col("term_code")))
-            .join(sr, (F.col("s_sec_no") == F.col("sec")) & (F.col("s_course_key") == C.trim("course_code"))
-                  & (F.col("s_sess") == C.term_sess("term_code"))))
+            .join(sr, (F.col("s_sec_no") == F.col("sec")) & (F.col("s_course_key") == F.col("course_key"))
+                  & (F.col("s_sess") == F.col("term_sess"))))
     return j.select(
         C.trim("e_course_code").alias("coursecode"),
         C.section_code_of_course("course_code", "sec", "term_code").alias("sectioncode"),

@@ -8,6 +8,7 @@ matching DuckDB SQL is in ``registrar_feeds.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,11 +22,21 @@ from registrar_feeds.operators import people as P
 from registrar_feeds.operators import sections as S
 from registrar_feeds.operators.audit import status_transitions
 from registrar_feeds.plans import feeds as FD
+from registrar_feeds.plans.runner import run_feeds
 from registrar_feeds.session import scratch_dir
 from registrar_feeds.sinks import csv_export as CSV
 from registrar_feeds.sinks.digest import digest_lines
 from registrar_feeds.sinks.ordered import with_position
-from registrar_feeds.sources import fixture_tables
+from registrar_feeds.sources import fixture_tables, read_tables, write_tables
+
+#: A key of each table, for counting what was written and read back.
+STAGED_KEYS = {
+    "jenzcrs_rec": "coursekey", "crs_rec": "crs_no", "jenzccd_rec": "course_code", "jenztrm_rec": "term_code",
+    "jenzdpt_rec": "dept_code", "jenzsch_rec": "course_code", "secmtg_rec": "mtg_no", "sec_rec": "crs_no",
+    "id_rec": "id", "sess_table": "sess", "mtg_rec": "mtg_no", "bldg_table": "bldg", "dept_table": "dept",
+    "jenzcst_rec": "host_id", "jenzprs_rec": "host_id", "job_rec": "id", "prog_enr_rec": "id",
+    "addree_rec": "prim_id", "role_rec": "id", "jenzcrp_rec": "host_id", "audit_sec_rec": "audit_timestamp",
+}
 
 A = FIXTURE_AS_OF
 SCHOOL = V.DEFAULT_SCHOOL
@@ -167,7 +178,7 @@ def _digest(spark, t):
 
 @query("term_window")
 def _term_window(spark, t):
-    return Fl.term_window(t["jenztrm_rec"], A)
+    return Fl.term_window(t["jenztrm_rec"], A).select("term_code", "start_date", "end_date")
 
 
 @query("program_exclusion")
@@ -188,10 +199,9 @@ def _section_instructor(spark, t):
 
 @query("built_key_join")
 def _built_key_join(spark, t):
-    cr = S.with_course_key(t["crs_rec"]).select(
-        F.col("crs_no"), F.col("cat"), F.col("dept"), F.col("course_key"))
-    jc = t["jenzcrs_rec"].select("course_code", "sec", "term_code")
-    return (jc.join(cr, F.col("course_key") == C.trim("course_code"))
+    cr = t["crs_rec"].select("crs_no", "cat", "dept", "course_key")
+    jc = t["jenzcrs_rec"].select("course_code", "sec", "term_code", F.col("course_key").alias("j_course_key"))
+    return (jc.join(cr, F.col("course_key") == F.col("j_course_key"))
               .select("course_code", "sec", "term_code", "crs_no", "cat", "dept"))
 
 
@@ -295,6 +305,61 @@ def _csv_crosslist(spark, t):
     return _round_trip(spark, "CROSSLIST", FD.feed_crosslist(t, A))
 
 
+# --- staged tables, run, order ---------------------------------------------------------
+
+def _staged(spark, t, env: str = "train") -> dict[str, DataFrame]:
+    """The tables written under one environment and read back by the reader."""
+    base = scratch_dir(spark, "staged")
+    write_tables(t, base, env)
+    return read_tables(spark, base, env.upper(), names=tuple(t))
+
+
+@query("staged_tables")
+def _staged_tables(spark, t):
+    """Rows and distinct keys of every table, written and read back (the audit
+    trail from its own namespace)."""
+    s = _staged(spark, t)
+    counts = [s[n].agg(F.lit(n).alias("table_name"), F.count(F.lit(1)).alias("n_rows"),
+                       F.count_distinct(F.coalesce(F.col(k).cast("string"), F.lit("~"))).alias("n_keys"))
+              for n, k in STAGED_KEYS.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query("staged_transitions")
+def _staged_transitions(spark, t):
+    """Status transitions over the staged audit trail."""
+    return status_transitions(_staged(spark, {n: t[n] for n in ("audit_sec_rec",)})["audit_sec_rec"], A)
+
+
+@query("ordered_users")
+def _ordered_users(spark, t):
+    """USERS with each row's position in export order."""
+    return with_position(FD.feed_users(t, A, SCHOOL), "row_no").select(
+        "row_no", "lastname", "firstname", "role", "uniqueid")
+
+
+@query("ordered_cancelled")
+def _ordered_cancelled(spark, t):
+    """CANCELLED_COURSES with each row's position in digest order."""
+    return with_position(FD.feed_cancelled_courses(t, A), "row_no").select(
+        "row_no", "crs_no", "sec_no", "sess", "yr", "audit_timestamp")
+
+
+@query("scheduled_run")
+def _scheduled_run(spark, t):
+    """One scheduled run over the staged tables; its four exports and the
+    digest read back, one text line per row, tagged by feed."""
+    out, arch, digest = (scratch_dir(spark, n) for n in ("export", "archive", "digest"))
+    written = run_feeds(_staged(spark, t, "live"), A, out, arch, digest, SCHOOL)
+    parts = []
+    for feed in V.FEED_ORDER:
+        df = CSV.read_csv(spark, feed, written[feed]["export"])
+        parts.append(df.select(F.lit(feed).alias("feed"), F.concat_ws("|", *[
+            F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in df.columns]).alias("line")))
+    parts.append(spark.read.text(written["DIGEST"]["digest"]).select(F.lit("DIGEST").alias("feed"), F.col("value").alias("line")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("snapshot_archive")
 def _snapshot_archive(spark, t):
     """ENROLLMENT exported and archived in one run; the archive read back."""

@@ -9,7 +9,8 @@ from pyspark.sql import SparkSession
 
 
 def build_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "registrar_feeds", extra: dict | None = None) -> SparkSession:
+                  app: str = "registrar_feeds", extra: dict | None = None,
+                  driver_memory: str = "8g") -> SparkSession:
     """A session configured the way the feeds expect.
 
     On a cluster the same settings go into the job's submit configuration;
@@ -28,7 +29,7 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
         .config("spark.sql.session.timeZone", "America/Chicago")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", driver_memory)
     )
     for k, v in (extra or {}).items():
         b = b.config(k, v)
@@ -40,19 +41,29 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster it is set by the job and only read here.  When it is unset
-    (tests, local runs) a local temporary folder becomes the context's
-    checkpoint folder; the core setting itself cannot change at run time.
+    On a cluster it is set by the job and only read here.  When it is unset in
+    a local run (tests) a temporary folder becomes the context's checkpoint
+    folder; on a cluster that is an error, as each executor would write to its
+    own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="registrar-feeds-")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not is_local(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="registrar-feeds-")
     sc.setCheckpointDir(base)
     return sc.getCheckpointDir() or base
 
 
+def is_local(master: str) -> bool:
+    """One JVM is driver and executor (``local-cluster`` is a cluster)."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
@@ -63,4 +74,4 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "checkpoint_root", "scratch_dir", "local_path"]
+__all__ = ["build_session", "checkpoint_root", "is_local", "scratch_dir", "local_path"]

@@ -16,13 +16,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrar_feeds.sources.schemas import (
-    AUDIT_NAMESPACE, CLUSTER_COLUMNS, KEY_COLUMNS, PARTITION_COLUMNS, SCHEMAS, STAGED_EXTRA, TABLES,
-    staged_schema,
+    AUDIT_NAMESPACE, CLUSTER_COLUMNS, KEY_COLUMNS, OPTIONAL_COLUMNS, PARTITION_COLUMNS, SCHEMAS, STAGED_EXTRA,
+    TABLES, staged_schema,
 )
+from registrar_feeds.functions import codes as C
 
 # How staging derives the STAGED_EXTRA columns.
 _DERIVED = {
     ("audit_sec_rec", "audit_date"): lambda: F.to_date(F.col("audit_timestamp")),
+    ("crs_rec", "course_key"): lambda: C.course_code("crs_no", "cat"),
+    ("sec_rec", "course_key"): lambda: C.course_code("crs_no", "cat"),
+    ("jenzcrs_rec", "course_key"): lambda: C.trim("course_code"),
+    ("jenzcrs_rec", "term_sess"): lambda: C.term_sess("term_code"),
+    ("jenzcrs_rec", "term_year"): lambda: C.term_year("term_code"),
+    ("jenzcrs_rec", "key_year"): lambda: C.key_year("coursekey"),
+    ("jenztrm_rec", "term_year"): lambda: C.term_year("term_code"),
 }
 
 ENVIRONMENTS = ("live", "train")
@@ -44,9 +52,16 @@ def table_path(base: str, env: str, name: str) -> str:
 
 def stage_table(name: str, df: DataFrame) -> DataFrame:
     """Conform ``df`` to the schema of ``name``; right-trim its key columns;
-    add the derived staging columns."""
+    add the derived staging columns.
+
+    A source column that is absent is an error, unless it is one of
+    ``OPTIONAL_COLUMNS``: a missing join key would empty a feed in silence.
+    """
     keys = set(KEY_COLUMNS.get(name, ()))
     have = set(df.columns)
+    absent = [c for c in SCHEMAS[name].names if c not in have and c not in OPTIONAL_COLUMNS.get(name, ())]
+    if absent:
+        raise ValueError(f"table {name}: source columns absent: {', '.join(absent)}")
     cols = []
     for f in SCHEMAS[name].fields:
         c = F.col(f.name).cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)
@@ -64,42 +79,50 @@ def stage(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: stage_table(name, tables[name]) for name in TABLES}
 
 
-def read_tables(spark: SparkSession, base: str, env: str = "live",
-                staged: bool = True) -> dict[str, DataFrame]:
-    """All registrar tables of one environment, read with their fixed schemas.
+def read_tables(spark: SparkSession, base: str, env: str = "live", staged: bool = True,
+                names: tuple[str, ...] = TABLES) -> dict[str, DataFrame]:
+    """The registrar tables of one environment, read with their fixed schemas.
 
-    ``staged=False`` reads raw source extracts and stages them on the fly.
+    ``staged=False`` reads raw source extracts, under the schema of their files,
+    and stages them on the fly; staged tables are read under the schema they
+    were written with.
     """
     check_env(env)
     out = {}
-    for name in TABLES:
+    for name in names:
         if staged:
             out[name] = spark.read.schema(staged_schema(name)).parquet(table_path(base, env, name))
         else:
-            out[name] = stage_table(name, spark.read.schema(SCHEMAS[name]).parquet(table_path(base, env, name)))
+            out[name] = stage_table(name, spark.read.parquet(table_path(base, env, name)))
     return out
 
 
 def write_tables(tables: dict[str, DataFrame], base: str, env: str = "live",
                  row_group_bytes: int | None = None, cluster: bool = True,
                  partition: bool = True) -> None:
-    """Write staged tables as Parquet, one folder per table.
+    """Write staged tables (those in ``tables``) as Parquet, one folder per table.
 
     ``partition`` writes the history tables of ``PARTITION_COLUMNS`` in one
-    directory per year (read back with the same columns; the partition
-    column comes last).  ``cluster`` sorts rows inside each output file by the
-    table's ``CLUSTER_COLUMNS`` (no shuffle), so row-group statistics let the
-    date windows of the feeds skip row groups.  ``row_group_bytes`` sets the
-    Parquet row-group size: scans split at row groups, so it bounds the read
-    parallelism of small tables (keep the default, 128 MB, for large ones).
+    directory per year, term or day (read back with the same columns; the
+    partition column comes last).  ``cluster`` deals rows to tasks by ranges of
+    (partition columns, ``CLUSTER_COLUMNS``) and sorts them there: files hold
+    disjoint ranges, so file and row-group statistics let the date windows skip
+    them at any row-group size, and a directory has as many files as its share
+    of the rows, at most one more for each border between tasks.
+    ``row_group_bytes`` sets the Parquet row-group size: scans split at row
+    groups, so it bounds the read parallelism of small tables (keep the default,
+    128 MB, for large ones).
     """
-    for name in TABLES:
-        df = tables[name]
+    for name, df in tables.items():
         parts = PARTITION_COLUMNS.get(name, ()) if partition else ()
         order = tuple(parts) + (CLUSTER_COLUMNS.get(name, ()) if cluster else ())
         if order:
             # partition columns first: the partitioned writer needs that
             # order and would otherwise re-sort, losing the clustering
+            if cluster:
+                # a fixed number of tasks: writers of many folders stay parallel
+                n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+                df = df.repartitionByRange(n, *order) if parts else df.repartitionByRange(*order)
             df = df.sortWithinPartitions(*order)
         w = df.write.mode("overwrite")
         if parts:

@@ -54,11 +54,21 @@ SCHEMAS: dict[str, T.StructType] = {
 TABLES = tuple(SCHEMAS)
 
 # Columns staging adds (derived from the source columns), appended to the
-# source schema.  The audit date lets the daily audit window skip data by
-# Parquet statistics: filters on naive timestamps are not pushed into
-# Parquet row-group filtering, filters on dates are.
+# source schema.  The audit date is the directory a day's images lie in.  The
+# course key and the slices of term code and section key are join keys of
+# several feeds: worked out once, the joins are plain column equalities.
 STAGED_EXTRA: dict[str, tuple[tuple[str, T.DataType], ...]] = {
     "audit_sec_rec": (("audit_date", D),),
+    "crs_rec": (("course_key", S),),
+    "sec_rec": (("course_key", S),),
+    "jenzcrs_rec": (("course_key", S), ("term_sess", S), ("term_year", S), ("key_year", S)),
+    "jenztrm_rec": (("term_year", S),),
+}
+
+# Source columns that may be absent (read as null); any other absent column is
+# an error.
+OPTIONAL_COLUMNS: dict[str, tuple[str, ...]] = {
+    "id_rec": ("fullname",),
 }
 
 
@@ -90,24 +100,32 @@ KEY_COLUMNS: dict[str, tuple[str, ...]] = {
     "audit_sec_rec": ("crs_no", "sec_no", "cat", "yr", "sess", "stat"),
 }
 
-# Write order inside each staged file: the columns the feeds filter on by
-# range (run-date windows), so Parquet row-group statistics let scans skip
-# what a window excludes.  Tables not listed are written as they come.
+# Range layout of the staged files: the columns the feeds filter on by range
+# (run-date windows) or join on.  Files hold disjoint ranges of them, so Parquet
+# statistics let scans skip whole files.  Tables not listed are written as they
+# come.
 CLUSTER_COLUMNS: dict[str, tuple[str, ...]] = {
-    "audit_sec_rec": ("audit_date", "audit_timestamp"),
+    "audit_sec_rec": ("audit_timestamp",),
     "sec_rec": ("end_date", "stat_date"),
+    "secmtg_rec": ("crs_no", "sec_no"),
+    "jenzcrs_rec": ("course_code", "sec"),
+    "jenzcrp_rec": ("course_code", "sec"),
     "mtg_rec": ("end_date", "beg_date"),
     "jenztrm_rec": ("end_date", "start_date"),
     "job_rec": ("id",),
 }
 
-# Directory partitioning of the staged history tables.  The course feeds join
-# section history on the year of the current (or just cancelled) sections, so
-# Spark's dynamic partition pruning reads only those years of it.  (Meetings
-# are not partitioned: their year never reaches a join directly.)
+# Directory partitioning of the staged history tables.  COURSES joins section
+# history to the few years it needs, ENROLLMENT joins enrolments and offerings
+# to the terms at hand: dynamic partition pruning reads only those folders.  The
+# audit window names its days outright.
 PARTITION_COLUMNS: dict[str, tuple[str, ...]] = {
     "secmtg_rec": ("yr",),
     "sec_rec": ("yr",),
+    "mtg_rec": ("yr",),
+    "jenzcrs_rec": ("term_code",),
+    "jenzcrp_rec": ("term_code",),
+    "audit_sec_rec": ("audit_date",),
 }
 
 # Where the audit table lives: a second database at the source.

@@ -28,3 +28,39 @@ def test_checkpoint_root_without_configured_folder():
     out = subprocess.run([sys.executable, "-c", SCRIPT.format(root=ROOT)], env=env,
                          capture_output=True, text=True, timeout=300)
     assert "OK 10" in out.stdout, out.stderr[-2000:]
+
+
+RUN = """
+import sys
+sys.path.insert(0, {root!r})
+import datetime as dt
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false")
+         .config("spark.sql.shuffle.partitions", "2").config("spark.ui.showConsoleProgress", "false").getOrCreate())
+from registrar_feeds.asof import AsOf
+from registrar_feeds.plans.runner import run_feeds
+from tests.helpers import tables
+written = run_feeds(tables(spark), AsOf(dt.datetime(2024, 9, 10, 14)), {out!r}, {out!r} + "/archive", {out!r} + "/digest")
+print("WROTE", *written)
+"""
+
+
+def test_run_feeds_alone_without_a_configured_folder():
+    """The call that the README shows, first thing in a fresh process."""
+    env = dict(os.environ, SPARK_CONF_DIR=tempfile.mkdtemp(prefix="empty-conf-"))
+    out = subprocess.run([sys.executable, "-c", RUN.format(root=ROOT, out=tempfile.mkdtemp(prefix="run-feeds-"))], env=env,
+                         capture_output=True, text=True, timeout=300)
+    assert "WROTE DIGEST COURSES USERS ENROLLMENT CROSSLIST" in out.stdout, out.stderr[-2000:]
+
+
+def test_no_machine_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from registrar_feeds.session import checkpoint_root, is_local
+    assert [is_local(m) for m in ("local", "local[*]", "local-cluster[2,1,512]", "yarn", "spark://h:1")] == [True, True, False, False, False]
+    fake = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="yarn"),
+                           conf=SimpleNamespace(get=lambda k, d: d))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_root(fake)

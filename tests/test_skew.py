@@ -5,7 +5,7 @@ import contextlib
 import datetime as dt
 import io
 
-from registrar_feeds.asof import AsOf
+from registrar_feeds.asof import FIXTURE_AS_OF, AsOf
 from registrar_feeds.plans import feeds as FD
 from tests.helpers import D, dec, tables
 
@@ -36,8 +36,61 @@ def test_hot_meeting_crosslist(spark):
     want = sorted((m, code, max(codes)) for m, codes in by_mtg.items() if len(codes) > 1
                   for code in codes if code != max(codes))
     assert got == want and len(got) == 299 + 400
-    plan = _plan(df)
-    assert "partial_max" in plan and "partial_count" in plan
+
+
+def test_hot_meeting_is_reduced_before_the_meeting_join(spark, smoke_tables):
+    """Broadcasts off: over the section rows there is an exchange between the
+    partial and the final aggregate, and the meetings come after it."""
+    with _no_broadcast(spark):
+        plan = _plan(FD.X.shared_meeting_master(smoke_tables, FIXTURE_AS_OF))
+    lines = plan.splitlines()
+    final = next(i for i, x in enumerate(lines) if "functions=[count(mtg_no" in x)
+    partial = next(i for i, x in enumerate(lines) if "functions=[partial_count(mtg_no" in x)
+    between = [x for x in lines[final + 1:partial] if x.strip()]
+    assert any("Exchange hashpartitioning(mtg_no" in x for x in between)
+    assert not any("Join" in x for x in between)
+    assert any("SortMergeJoin" in x for x in lines[:final])
+
+
+@contextlib.contextmanager
+def _no_broadcast(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def _hot_term(spark, n=400):
+    """One section holds most meetings and enrolments of one current term."""
+    code, term = "C1 (UG)", "RA 2024 UNDG"
+    return tables(
+        spark,
+        jenzcrs_rec=[(code, "01", term, "2024;RA;C1;01;UG;UNDG", "3"), ("C2 (UG)", "01", term, "2024;RA;C2;01;UG;UNDG", "3")],
+        crs_rec=[(c, "UG", "D1", "UNDG", "a", "b", "c") for c in ("C1", "C2")],
+        jenzccd_rec=[("C1 (UG)", "One", "D1"), ("C2 (UG)", "Two", "D1")],
+        jenztrm_rec=[(term, D(2024, 9, 1), D(2024, 12, 1))], sess_table=[("RA", "Fall")], id_rec=[(7, "L", "F", "", None)],
+        sec_rec=[(c, "01", "UG", "2024", "RA", "S1", 7, dec(3), "O", D(2024, 1, 1), D(2024, 9, 1), D(2024, 12, 1)) for c in ("C1", "C2")],
+        secmtg_rec=[("C1", "01", "UG", "2024", "RA", m) for m in range(n)] + [("C2", "01", "UG", "2024", "RA", n)],
+        mtg_rec=[(m, "2024", "RA", "B1", "R1", "M", dec(900), dec(950), D(2024, 9, 1), D(2024, 12, 1)) for m in range(n + 1)],
+        jenzcrp_rec=[(code, "01", term, str(i), "STU") for i in range(n)] + [("C2 (UG)", "01", term, "1", "STU")])
+
+
+def test_hot_section_courses_and_enrollment(spark):
+    """Shuffled joins: the hot section's rows are whole, once each."""
+    t = _hot_term(spark)
+    with _no_broadcast(spark):
+        courses = FD.feed_courses(t, SEPT)
+        got = courses.groupBy("coursecode").count().collect()
+        assert {r["coursecode"]: r["count"] for r in got} == {"C1 (UG)": 400, "C2 (UG)": 1}
+        enrolled = FD.feed_enrollment(t, SEPT)
+        rows = enrolled.collect()
+        assert sorted(r.uniqueuserid for r in rows if r.coursecode == "C1 (UG)") == list(range(400)) and len(rows) == 401
+        assert "SortMergeJoin" in _plan(courses) and "SortMergeJoin" in _plan(enrolled)
 
 
 def test_hot_person_users(spark):

@@ -192,3 +192,17 @@ def test_crosslist_master_is_greatest_code(spark):
     rows = FD.feed_crosslist(_cl_tables(spark, [("C1", "01"), ("C2", "01"), ("C1", "02")]), SEPT).collect()
     assert {r.targ_code for r in rows} == {"2024;RA;C2;01;UG;UNDG"}
     assert [r.crls_code for r in rows] == ["2024;RA;C1;01;UG;UNDG", "2024;RA;C1;02;UG;UNDG"]
+
+
+def test_bad_ids_fail_instead_of_turning_null(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    good = spark.createDataFrame([(" 12 ",), (None,)], "h string").select(C.to_number("h").alias("n")).collect()
+    assert [r.n for r in good] == [12, None]
+    with pytest.raises(PySparkException, match="not a numeric id: 12a"):
+        spark.createDataFrame([("12a",)], "h string").select(C.to_number("h")).collect()
+
+
+def test_long_course_code_is_cut_in_section_codes(spark):
+    df = spark.createDataFrame([("LONGCODE9 (UG)", "01 ", "RA 2024 UNDG")], "c string, s string, t string")
+    assert df.select(C.section_code_of_course("c", "s", "t").alias("x")).first().x == "LONGCODE-01 RA 2024 UNDG"
