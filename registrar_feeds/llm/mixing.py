@@ -18,10 +18,11 @@ table gives an empty result.  Sources are few against documents: their totals
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from fractions import Fraction
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -178,15 +179,17 @@ class Mix:
             [(sh, s, f, c, -(-sizes[s] // block), slots[s][0] - 1, slots[s][1]) for sh, s, f, c in drawn],
             "shard long, __sid long, __first long, __count long, __blocks long, __last long, __cut long")
 
-        @F.pandas_udf("long")
-        def block_of(i: pd.Series, n: pd.Series, sid: pd.Series, turn: pd.Series) -> pd.Series:
-            return pd.Series(permute(i, n, pass_key(seed, sid.to_numpy(), turn.to_numpy())))
+        def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for rb in batches:
+                sid, slot, n = (rb[c].to_numpy() for c in ("__sid", "slot", "__blocks"))
+                turn = slot // n
+                at = permute(slot % n, n, pass_key(seed, sid, turn))
+                yield pa.RecordBatch.from_arrays([rb["__sid"], pa.array(at), rb["shard"], rb["slot"], pa.array(turn), rb["__limit"]],
+                                                 ["__sid", "__block", "shard", "slot", "pass", "__limit"])
 
         each = (info.withColumn("slot", F.explode(F.expr("sequence(__first, __first + __count - 1)")))
-                .withColumn("pass", F.expr("slot div __blocks"))
-                .withColumn("__block", block_of(F.col("slot") % F.col("__blocks"), "__blocks", "__sid", "pass"))
-                .withColumn("__limit", F.when(F.col("slot") == F.col("__last"), F.col("__cut")).otherwise(F.lit(block)))
-                .select("__sid", "__block", "shard", "slot", "pass", "__limit"))
+                .withColumn("__limit", F.when(F.col("slot") == F.col("__last"), F.col("__cut")).otherwise(F.lit(block).cast("long")))
+                .mapInArrow(blocks, "__sid long, __block long, shard long, slot long, pass long, __limit long"))
         upto = F.least(F.col("__to"), F.col("__block") * block + F.col("__limit"))
         return (parts.join(each, ["__sid", "__block"])
                 .select("__uid", "pass", (F.col("__from") - F.col("__at")).alias("first"),

@@ -50,7 +50,7 @@ PERCENT = 80
 #: Part of the hash range whose frequencies are counted; over 1 - PERCENT / 100.
 UNIVERSE = 0.28
 #: Kept hashes in a chunk, and shingles of a candidate set that one task joins.
-CHUNK_KEYS = 2_000_000
+CHUNK_KEYS = 1_000_000
 TILE_SHINGLES = 4_000_000
 PIVOTS = 4
 
@@ -62,10 +62,10 @@ _KEY_BITS = 48
 
 
 class _Words(dict):
-    """Hash of each word, worked out once."""
+    """Hash of each word, worked out once while it is held (a few tens of MB)."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 150_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
