@@ -258,8 +258,10 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """(u, root): the smallest node connected with each node of ``edges`` (u, v).
 
     Alternating large and small stars: each round links a node's neighbours to
-    the smallest node among them, until nothing changes.  Nodes of many edges
-    are pre-aggregated and met by joins whose skew Spark splits.
+    the smallest node among them, until nothing changes.  A node of very many
+    edges is pre-aggregated before the shuffle; the aggregates are written, so
+    that the joins with them are plain shuffles whose skew Spark splits (or
+    broadcasts while they are small).
     """
     def mark(e: DataFrame) -> tuple:
         r = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
@@ -269,9 +271,10 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     before = mark(now)
     for _ in range(rounds):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = kept(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "cc-least")
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = kept(large, "cc-large")
+        low = kept(large.groupBy("u").agg(F.min("v").alias("m")), "cc-low")
         small = large.join(low, "u")
         now = kept(small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
                    .unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
@@ -411,7 +414,8 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, un
     """uid, doc_id, th, n and root (one uid for each component) per document."""
     sets = document_sets(docs, size, percent, universe, chunk_keys)
     keys = kept(first_keys(sets, percent, universe), "ngram-keys")
-    stars = keys.groupBy("key").agg(F.min("uid").alias("v"), F.max("uid").alias("__last")).where("v <> __last").select("key", "v")
+    stars = kept(keys.groupBy("key").agg(F.min("uid").alias("v"), F.max("uid").alias("__last"))
+                 .where("v <> __last").select("key", "v"), "ngram-stars")
     edges = keys.withColumnRenamed("uid", "u").join(stars, "key").where("u <> v").select("u", "v").distinct()
     cc = components(edges).select(F.col("u").alias("uid"), F.col("root").alias("cc"))
     # equal sets of a candidate set are one
@@ -419,8 +423,9 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, un
     same = of.groupBy("cc", "n", "d1", "d2").agg(F.min("uid").alias("one"))
     alias = kept(of.join(same, ["cc", "n", "d1", "d2"]).select("uid", "one"), "ngram-alias")
     ones = of.join(alias.where("uid = one").select("uid"), "uid").select("uid", "doc_id", "th", "n", "cc")
-    total = ones.groupBy("cc").agg(F.sum("n").alias("__total"), F.count(F.lit(1)).alias("__ones")).where("__ones > 1")
-    ones = kept(ones.join(total.select("cc", "__total"), "cc"), "ngram-ones")
+    total = kept(ones.groupBy("cc").agg(F.sum("n").alias("__total"), F.count(F.lit(1)).alias("__ones"))
+                 .where("__ones > 1").select("cc", "__total"), "ngram-totals")
+    ones = kept(ones.join(total, "cc"), "ngram-ones")
 
     no_id = F.lit(-(1 << 62)).cast("long")
     wanted = ones.select("uid", "cc", "n", "__total", "th", F.coalesce("doc_id", no_id).alias("__id"))
@@ -441,7 +446,7 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, un
 
 def component_ids(groups: DataFrame) -> DataFrame:
     groups = kept(groups, "ngram-groups")
-    least = groups.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    least = kept(groups.groupBy("root").agg(F.min("doc_id").alias("component_id")), "ngram-least")
     return groups.join(least, "root").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
