@@ -13,6 +13,8 @@ from registrar_feeds.session import scratch_dir
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
+#: Rows of text that go to Python at once.
+BATCH_ROWS = 1000
 #: A maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]++"
 
@@ -33,6 +35,16 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def modest_batches(df: DataFrame) -> DataFrame:
+    """``df``, for a step that hands texts to Python: Arrow batches of the
+    session hold at most BATCH_ROWS rows, as their buffers lie outside the heap,
+    several to a core.  The setting is only ever lowered."""
+    key, spark = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    return df
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z; all other characters stay."""
     return F.translate(text, UPPER, LOWER)

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registrar_feeds.llm.common import LOWER, UPPER, kept, table, text_or_empty
+from registrar_feeds.llm.common import LOWER, UPPER, kept, modest_batches, table, text_or_empty
 
 #: Bytes of text that a table holds: of the pass before the shuffle (which then
 #: starts a new one), and of a bucket after it (which is then partitioned).
@@ -204,7 +204,7 @@ def exact_groups(docs: DataFrame, local_bytes: int = LOCAL_BYTES, bucket_bytes:
                  fan_bits: int = FAN_BITS) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs``."""
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
-    local = kept(rows.mapInArrow(fold_locally(local_bytes), _LOCAL_SQL), "exact-local")
+    local = kept(modest_batches(rows).mapInArrow(fold_locally(local_bytes), _LOCAL_SQL), "exact-local")
     reps = (local.where("n IS NOT NULL").select("rep", "uid", "doc_id", "h", "n", "text").repartition("h"))
     classes = reps.mapInArrow(grace(bucket_bytes, fan_bits), "rep long, keep_id long, keep_uid long, group_size long")
     return (local.where("n IS NULL").join(classes, "rep")

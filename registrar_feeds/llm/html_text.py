@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registrar_feeds.llm.common import table
+from registrar_feeds.llm.common import modest_batches, table
 
 WINDOW = 3
 #: Part of the largest window sum at which text surges, of the heaviest
@@ -218,7 +218,7 @@ def extract(pages: DataFrame, **options) -> DataFrame:
             text = pa.array([main_text(h, **options) for h in rb["html"].to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([rb["page_id"], rb["url"], text], ["page_id", "url", "text"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(
+    return modest_batches(pages.select("page_id", "url", "html")).mapInArrow(
         run, f"page_id {dict(pages.dtypes)['page_id']}, url string, text string")
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from registrar_feeds.llm.common import table
+from registrar_feeds.llm.common import modest_batches, table
 
 #: Labelled rows to learn from, and landmarks among them.
 FIT_ROWS = 2048
@@ -37,6 +37,7 @@ LANDMARKS = 128
 RIDGE = 0.1
 GRAM_BITS = 16
 BATCH = 64
+PART_CHARS = 1 << 20
 UND = "und"
 
 
@@ -53,9 +54,14 @@ class Grams:
         self.code = code
 
     def __call__(self, text: str | None, flags: np.ndarray) -> bool:
-        """Sets the flags of the text's n-grams; False if it has no letter."""
-        if not text:
-            return False
+        """Sets the flags of the text's n-grams; False if it has no letter.
+        Long texts are taken in parts that share two characters."""
+        found = False
+        for at in range(0, len(text or ""), PART_CHARS):
+            found |= self._part(text[at:at + PART_CHARS + 2], flags)
+        return found
+
+    def _part(self, text: str, flags: np.ndarray) -> bool:
         c = self.code[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
         if not c.any():
             return False
@@ -175,7 +181,7 @@ def identify(docs: DataFrame, model: Model | None, batch: int = BATCH) -> DataFr
                                              [*rb.schema.names, "__lang_pred", "__score"])
 
     schema = T.StructType([*docs.schema.fields, T.StructField("__lang_pred", T.StringType()), T.StructField("__score", T.DoubleType())])
-    return docs.mapInArrow(run, schema)
+    return modest_batches(docs).mapInArrow(run, schema)
 
 
 def op9_language_id(spark, sf_dir):

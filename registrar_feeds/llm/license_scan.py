@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from registrar_feeds.llm.common import LOWER, UPPER, table, text_or_empty
+from registrar_feeds.llm.common import LOWER, UPPER, modest_batches, table, text_or_empty
 from registrar_feeds.llm.license_texts import PHRASES, TEMPLATES
 
 #: Words of a match that counts for a chain, words of the document between two
@@ -223,7 +223,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, **options) -> Da
                 yield pa.RecordBatch.from_arrays([rb["doc_id"], *cols], ["doc_id", *names])
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
-    return rows.mapInArrow(run, SCHEMA)
+    return modest_batches(rows).mapInArrow(run, SCHEMA)
 
 
 def op7_license_scan(spark, sf_dir):

@@ -33,7 +33,7 @@ SHARE = Fraction(3, 2)
 CAP = 2
 BLOCK_WORDS = 512
 SHARD_SLOTS = 65536
-CHUNK_DOCS = 8192
+CHUNK_DOCS = 1024
 _MASK = (1 << 64) - 1
 
 

@@ -42,7 +42,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from registrar_feeds.llm.common import LOWER, UPPER, kept, table, text_or_empty
+from registrar_feeds.llm.common import LOWER, UPPER, kept, modest_batches, table, text_or_empty
 
 SHINGLE = 5
 #: Links need PERCENT / 100 of the union.
@@ -144,7 +144,7 @@ def document_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
             if rows:
                 yield _arrow(rows, schema)
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
+    rows = modest_batches(docs).select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty(docs).alias("text"))
     return kept(rows.withColumn("th", F.xxhash64("text")).mapInArrow(run, _SETS), "ngram-sets")
 
 
@@ -373,8 +373,8 @@ def _large_sets(members: DataFrame, tile: int, pivots: int, size: int, percent:
     """Links of candidate sets that one task cannot hold (cc, uid, n, text)."""
     step = float(np.log(100 / percent))
     banded = members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(step)).cast("long"))
-    count = (banded.groupBy("cc", "band").agg(F.sum("n").alias("__sum"))
-             .select("cc", "band", F.ceil(F.col("__sum") / F.lit(tile)).cast("long").alias("__tiles")))
+    count = kept(banded.groupBy("cc", "band").agg(F.sum("n").alias("__sum"))
+                 .select("cc", "band", F.ceil(F.col("__sum") / F.lit(tile)).cast("long").alias("__tiles")), "ngram-bands")
     tiled = kept(banded.join(count, ["cc", "band"])
                  .withColumn("tile", F.pmod(F.xxhash64("uid"), F.col("__tiles"))).drop("__tiles"), "ngram-tiles")
     keys = ["cc", "band", "tile"]
@@ -398,13 +398,13 @@ def _large_sets(members: DataFrame, tile: int, pivots: int, size: int, percent:
         return kept(_join_tiles(rows, ["cc", "to_band", "to_tile", "from_band", "from_tile"], True, size, percent), name)
 
     first = labelled(inside)
+    rank = F.row_number().over(Window.partitionBy("cc", "band").orderBy(F.desc("__n"), "uid"))
     largest = (first.groupBy("cc", "band", "label").agg(F.count(F.lit(1)).alias("__n"), F.min("uid").alias("uid"))
-               .groupBy("cc", "band").agg(F.slice(F.sort_array(F.collect_list(F.struct(-F.col("__n"), "uid"))), 1, pivots).alias("__top"))
-               .select(F.explode("__top.uid").alias("uid")))
+               .withColumn("__rank", rank).where(F.col("__rank") <= pivots).select("uid"))
     star = meet(first.join(largest, "uid", "left_semi"), first, "ngram-star")
     second = labelled(inside.unionByName(star))
-    main = (second.groupBy("cc", "label").agg(F.count(F.lit(1)).alias("__n"))
-            .groupBy("cc").agg(F.max(F.struct("__n", "label")).alias("__m")).select("cc", F.col("__m.label").alias("__main")))
+    main = kept(second.groupBy("cc", "label").agg(F.count(F.lit(1)).alias("__n"))
+                .groupBy("cc").agg(F.max(F.struct("__n", "label")).alias("__m")).select("cc", F.col("__m.label").alias("__main")), "ngram-main")
     apart = second.join(main, "cc").where("label <> __main").drop("__main")
     return inside.unionByName(star).unionByName(meet(apart, second, "ngram-apart"))
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from registrar_feeds.llm.common import table, text_or_empty
+from registrar_feeds.llm.common import modest_batches, table, text_or_empty
 
 LENGTH = 1024
 END_ID = 0
@@ -167,7 +167,7 @@ def pack(docs: DataFrame, length: int = LENGTH, end_id: int = END_ID, group_docs
         if out:
             yield batch()
 
-    return rows.mapInArrow(run, SCHEMA)
+    return modest_batches(rows).mapInArrow(run, SCHEMA)
 
 
 def piece_digest(pieces: DataFrame) -> DataFrame:

@@ -47,6 +47,14 @@ def test_edge_cases(spark):
     assert {r["__lang_pred"] for r in G.identify(docs, None).collect()} == {G.UND}
 
 
+def test_long_texts_in_parts(monkeypatch):
+    g, text = G.grams(), "Ein langer Satz, der geteilt wird. " * 5
+    whole, parts = (np.zeros(1 << G.GRAM_BITS, bool) for _ in range(2))
+    assert g(text, whole)
+    monkeypatch.setattr(G, "PART_CHARS", 7)
+    assert g(text, parts) and (whole == parts).all()
+
+
 def test_kernel_is_the_presence_kernel():
     g, flags = G.grams(), np.zeros((3, 1 << G.GRAM_BITS), bool)
     for f, t in zip(flags, ("Hallo Welt", "hallo welt", "ganz anders")):
