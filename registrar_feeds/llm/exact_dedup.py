@@ -42,6 +42,9 @@ class Table:
     text or makes one."""
 
     def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
         self.slots: list[int] = [-1] * 1024
         self.hashes: list[int] = []
         self.texts: list[bytes] = []
@@ -183,7 +186,7 @@ def grace(most: int, fan_bits: int = FAN_BITS):
                     write(rows)
                     rows, size = [], 0
             write(rows)
-            held.__init__()
+            held.clear()
             for rb in batches:
                 d = rb.to_pydict()
                 write(list(zip(*[d[f.name] for f in _REP], strict=True)))

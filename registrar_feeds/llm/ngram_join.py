@@ -474,3 +474,29 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
 
 def op8_ngram_join(spark, sf_dir):
     return component_ids(near_groups(table(spark, sf_dir, "documents")))
+
+
+OP8_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (
+  SELECT x, y FROM pairs JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+  WHERE 100 * k >= 80 * (nx.n + ny.n - k)),
+ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  SELECT doc_id AS x, doc_id AS r FROM documents
+  UNION
+  SELECT ways.y, reach.r FROM reach JOIN ways ON ways.x = reach.x)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+JOIN (SELECT x, min(r) AS component_id FROM reach GROUP BY x) c ON c.x = d.doc_id
+"""

@@ -32,4 +32,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_line_dedup": line_dedup.OP3_SQL,
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op6_topk_search": topk_search.OP6_SQL,
+    "op8_ngram_join": ngram_join.OP8_SQL,
 }
