@@ -4,7 +4,9 @@ Each stage takes the documents that the stage before it kept, as Parquet, and
 all but the last return them under the columns of ``documents``:
 
 1. language: documents that are in no language (no text or no letter) go;
-2. lines: boilerplate lines of a source go; every document stays;
+2. lines: boilerplate lines of a source go; every document stays.  Copies count
+   as one page, and a document that would be left without a letter stays whole,
+   so that the next stage still finds the text of copies;
 3. near_duplicates: one document of each group of near copies stays, the one
    with the smallest doc_id; documents without words are in no group;
 4. mix: sources are cut or repeated to their target weights;
@@ -29,7 +31,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = line_dedup.drop_boilerplate(docs)
+    out = line_dedup.drop_boilerplate(docs, copies=False)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
     return out.select(*docs.columns)

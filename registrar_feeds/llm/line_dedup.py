@@ -10,9 +10,15 @@ so they return to the pages as one short array for each host; pages move only
 if the table of these arrays is too large to broadcast, and then as a join
 whose skew Spark can split.
 
+A group of copies would put all its lines above the ratio, and so lose its
+text in every copy.  ``copies=False``, which the corpus pipeline uses, counts
+each page content once for its host (by a two-hash digest of the whole text),
+with a line and in total, and leaves a page whole of which nothing with a
+letter would remain.  ``op3_line_dedup`` counts every row, as its SQL does.
+
 Defined cases: a null text stays null and its page counts for its host; a null
 host is a host of its own; blank lines are never boilerplate; a page whose
-lines all go is kept with an empty text; a line that a page repeats counts
+lines all go is kept, with an empty text or, without copies, whole; a line that a page repeats counts
 once there and goes everywhere; line order and line ends stay; an empty table
 gives an empty result.
 """
@@ -44,13 +50,19 @@ def _key(line: Column) -> Column:
     return F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))
 
 
-def boilerplate(pages: DataFrame, host: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+def boilerplate(pages: DataFrame, host: Column, ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                copies: bool = True) -> DataFrame:
     """__host, __bad: the keys of its boilerplate lines, for hosts that have any."""
-    rows = pages.select(host.alias("__host"), pages["text"].alias("__text"))
-    total = rows.groupBy("__host").agg(F.count(F.lit(1)).alias("__pages"))
-    lines = (rows.select("__host", F.explode(F.array_distinct(F.transform(
+    rows = pages.select(host.alias("__host"), pages["text"].alias("__text"),
+                        *([] if copies else [_key(pages["text"]).alias("__page")]))
+    page = [] if copies else ["__page"]
+    each = rows if copies else rows.select("__host", "__page").distinct()
+    total = each.groupBy("__host").agg(F.count(F.lit(1)).alias("__pages"))
+    lines = (rows.select("__host", *page, F.explode(F.array_distinct(F.transform(
                 F.split("__text", "\n", -1), _bare))).alias("__line"))
-             .where("__line <> ''").select("__host", _key(F.col("__line")).alias("__key")))
+             .where("__line <> ''").select("__host", *page, _key(F.col("__line")).alias("__key")))
+    if not copies:
+        lines = lines.distinct()
     counts = (lines.groupBy("__host", "__key").agg(F.count(F.lit(1)).alias("__n"))
               .where(F.col("__n") >= min_pages))
     return (counts.join(total.withColumnRenamed("__host", "__h"), F.col("__host").eqNullSafe(F.col("__h")))
@@ -59,16 +71,18 @@ def boilerplate(pages: DataFrame, host: Column, ratio: float = RATIO, min_pages:
 
 
 def drop_boilerplate(pages: DataFrame, host: str | Column = "source", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
+                     min_pages: int = MIN_PAGES, copies: bool = True) -> DataFrame:
     """``pages`` with boilerplate lines taken out of ``text``, and two columns
     more: __n_lines (lines of the text before) and __n_dropped."""
     at = pages[host] if isinstance(host, str) else host
-    bad = boilerplate(pages, at, ratio, min_pages)
+    bad = boilerplate(pages, at, ratio, min_pages, copies)
     lines = F.split("text", "\n", -1)
     kept = F.when(F.col("__bad").isNull(), lines).otherwise(
         F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col("__bad"), _key(_bare(x))), F.lit(False))))
     return (pages.withColumn("__at", at).join(bad, F.col("__at").eqNullSafe(F.col("__host")), "left")
             .withColumn("__lines", kept)
+            .withColumn("__lines", F.col("__lines") if copies else F.when(
+                F.exists("__lines", lambda x: x.rlike(r"\p{L}")), F.col("__lines")).otherwise(lines))
             .select(*[(F.array_join("__lines", "\n").alias("text") if c == "text" else pages[c])
                       for c in pages.columns],
                     F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("__n_lines"),

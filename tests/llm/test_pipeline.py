@@ -65,3 +65,18 @@ def test_rejected_documents_have_no_letters(spark):
     kept_ids = C.language(spark, docs, SMOKE).count()
     assert kept_ids == docs.where(docs["text"].rlike(r"\p{L}")).count()
     assert language_id.UND == "und" and line_dedup.RATIO < 1
+
+
+def test_copies_survive_once(spark):
+    """A third of the rows are copies of one page, five near copies differ in a number."""
+    tell = lambda i, n=30: " ".join(f"w{i}x{k}" for k in range(n))
+    same, near = f"{tell('a')}\n{tell('b')}", f"{tell('c')}\n{tell('d')}"
+    rows = [(i, f"Menu\n{tell(i)}\nFooter", "en", "s0") for i in range(60)]
+    rows += [(100 + i, same, "en", "s0") for i in range(30)]
+    rows += [(200 + i, f"{near}\n{i}", "en", "s0") for i in range(5)]
+    out = kept(C.lines(spark, documents(spark, rows), ""), "t")
+    text = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert all(text[i] == tell(i) for i in range(60))
+    assert all(text[100 + i] == same for i in range(30)) and all(text[200 + i] == f"{near}\n{i}" for i in range(5))
+    left = [r["text"] for r in C.near_duplicates(spark, out, "").collect()]
+    assert left.count(same) == 1 and sum(t.startswith(near) for t in left) == 1 and len(left) == 62
