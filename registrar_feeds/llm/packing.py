@@ -10,7 +10,9 @@ remainders, however large the group or a document is.
 Token ids are those of the ``tokenizers`` file at ``tokenizer``.  The file
 ``ranks`` states the same vocabulary as byte ranks; texts whose characters all
 lie below U+0250 are encoded from it, four times as fast and to the same ids
-(tests hold the two against each other), all other texts by ``tokenizers``.
+(tests hold the two against each other), all other texts by ``tokenizers``, and
+so is a text that holds an added token of the file, such as <|endoftext|>, which
+is one id there.
 
 Defined cases: a null or empty text is the end id alone; equal rows are packed
 as separate documents; an empty table gives no sequences.
@@ -67,13 +69,21 @@ def first_fit_decreasing(sizes: list[int], capacity: int) -> tuple[list[int], li
     return bins, offsets, used
 
 
-def parts(text: str, most: int = PART_CHARS) -> Iterator[str]:
+def parts(text: str, most: int = PART_CHARS, added: re.Pattern | None = None) -> Iterator[str]:
     """``text`` in parts of about ``most`` characters, cut before a space that
-    stands between letters: a token begins there in any case."""
+    stands between letters and not inside a match of ``added``: a token begins
+    there in any case."""
     cut = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
-    at = 0
+    whole = [m.span() for m in added.finditer(text)] if added else []
+    at = held = 0
     while len(text) - at > most:
         found = cut.search(text, at + most)
+        while found:
+            while held < len(whole) and whole[held][1] <= found.start():
+                held += 1
+            if held == len(whole) or whole[held][0] >= found.start():
+                break
+            found = cut.search(text, whole[held][1])
         if not found:
             break
         yield text[at:found.start()]
@@ -93,7 +103,9 @@ def encoder(tokenizer: str | None = None, ranks: str | None = None) -> Callable[
     key = (tokenizer, ranks)
     if key not in held:
         exact = Tokenizer.from_file(tokenizer or public_tokenizers.path(TOKENIZER))
-        exact.encode_special_tokens = True
+        # the longest first, as one may begin another
+        names = sorted((t.content for t in exact.get_added_tokens_decoder().values()), key=len, reverse=True)
+        added = re.compile("|".join(map(re.escape, names))) if names else None
         with open(ranks or public_tokenizers.path(RANKS)) as f:
             table_ = {base64.b64decode(a): int(b) for a, b in map(str.split, f)}
         fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table_, special_tokens={})
@@ -101,11 +113,11 @@ def encoder(tokenizer: str | None = None, ranks: str | None = None) -> Callable[
 
         def encode(text: str) -> list[int]:
             if len(text) > PART_CHARS:
-                return [i for p in parts(text) for i in one(p)]
+                return [i for p in parts(text, PART_CHARS, added) for i in one(p)]
             return one(text)
 
         def one(text: str) -> list[int]:
-            if other.search(text):
+            if other.search(text) or added and added.search(text):
                 return exact.encode(text, add_special_tokens=False).ids
             return fast.encode_ordinary(text)
 

@@ -80,3 +80,33 @@ def test_every_token_lies_in_one_piece(spark, exact):
 def test_edge_cases(spark, exact):
     check(documents(spark, edge_rows(3000), CLASH), edge_rows(3000), exact)
     assert P.pack(documents(spark, [])).count() == 0
+
+
+@pytest.fixture(scope="module")
+def as_filed():
+    t = Tokenizer.from_file(public_tokenizers.path(P.TOKENIZER))
+    return lambda text: t.encode(text, add_special_tokens=False).ids
+
+
+PIECES = ["<|endoftext|>", "<|endoftext|", "|>", "<", "a", "word", " ", "\n", "'s", "é", "漢", " b c", "12"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=20))
+def test_added_tokens_have_the_ids_of_the_unmodified_tokenizer(as_filed, pieces):
+    text = "".join(pieces)
+    assert P.encoder()(text) == as_filed(text)
+    assert P.encoder()("a <|endoftext|> b") == [64, 220, 50256, 275]
+
+
+def test_added_tokens_in_long_texts_and_in_sequences(spark, as_filed, monkeypatch):
+    text = "Some words and<|endoftext|>more of them <|endoftext|> " * 40
+    encode = P.encoder()
+    monkeypatch.setattr(P, "PART_CHARS", 50)
+    assert encode(text) == as_filed(text)
+    added = P.re.compile("and a|a b c")
+    cut = list(P.parts("x and a b c d and a b c d", 4, added))
+    assert "".join(cut) == "x and a b c d and a b c d" and len(cut) > 1
+    assert sum(len(added.findall(p)) for p in cut) == len(added.findall("".join(cut)))
+    rows = [(i, "lorem <|endoftext|> ipsum" * (i % 5)) for i in range(50)]
+    check(documents(spark, rows), rows, as_filed)
