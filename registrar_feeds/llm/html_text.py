@@ -9,8 +9,12 @@ Where a page marks its article (``article`` or ``main``) only lines inside it
 weigh, and every stretch of them is kept; elsewhere a line of links weighs
 nothing, and a stretch far lighter than the heaviest is left out.
 
+Elements end as in HTML: a paragraph before the next block, an item, cell, row
+or option before its next sibling, everything with its parent; a link that is
+never closed ends at the next block or link.
+
 Defined cases: a null or empty page, or one of markup alone, has an empty text;
-unclosed and cut-off tags end with the page; equal rows are equal results; an
+other unclosed and cut-off tags end with the page; equal rows are equal results; an
 empty table gives an empty result.
 """
 
@@ -49,6 +53,28 @@ breadcrumbs sidebar aside footer masthead topbar comment comments commentlist di
 social related recommended newsletter subscribe signup login widget pagination pager complementary contentinfo
 alertdialog alert search""".split())
 
+#: Elements that others end in: blocks, and what else is left out whole.
+_HOLDS = BLOCKS | OUT | RAW | {"datalist"}
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_SCOPE = frozenset("article main table caption td th button object template select".split())
+#: What the start of an element ends, and what it does not reach beyond.
+_ENDS = {
+    **dict.fromkeys(BLOCKS - frozenset("""body caption head html legend optgroup option tbody td tfoot th thead
+title tr""".split()) | {"xmp"}, (frozenset(["p"]), _SCOPE)),
+    **dict.fromkeys(["td", "th"], (frozenset("td th".split()), frozenset("tr table".split()))),
+    "tr": (frozenset("td th tr".split()), frozenset("tbody thead tfoot table".split())),
+    **dict.fromkeys("tbody thead tfoot".split(), (frozenset("caption td th tr tbody thead tfoot".split()), frozenset(["table"]))),
+    "option": (frozenset(["option"]), frozenset("optgroup select datalist".split())),
+    "optgroup": (frozenset("option optgroup".split()), frozenset(["select"])),
+}
+_ITEMS = {"li": (frozenset(["li"]), _SCOPE | frozenset("ul ol menu dir".split())),
+          **dict.fromkeys(["dd", "dt"], (frozenset(["dd", "dt"]), _SCOPE | {"dl"}))}
+#: Closing tags that reach further than others.
+_ENDS_REACH = {**dict.fromkeys("table caption tbody thead tfoot tr td th".split(), frozenset("table template article main".split())),
+               **dict.fromkeys(["article", "main"], frozenset())}
+#: Open elements that an implied end is looked for among, as in browsers.
+DEPTH = 512
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
@@ -77,19 +103,91 @@ class _Page:
                 at = end.start() if end else len(source)
         if at < len(source):
             self.tokens.append((source[at:], None, None))
-        self.close: dict[int, int] = {}
-        open_: dict[str, list[int]] = {}
-        for i, (closing, name, _) in enumerate(self.tokens):
-            if name is None or name in VOID:
-                continue
-            if not closing:
-                open_.setdefault(name, []).append(i)
-            elif open_.get(name):
-                self.close[open_[name].pop()] = i
+        self.close = self._ends()
         # text holders: an article or main that is not itself left out
         self.mains = [i for i, (closing, name, attrs) in enumerate(self.tokens)
                       if name in ("article", "main") and not closing and not self._named_out(attrs)]
 
+    def _ends(self) -> dict[int, int]:
+        """For each element's first token the last one: its closing tag, or what
+        stands before the tag that ends it.  Without it: up to the page's end."""
+        close: dict[int, int] = {}
+        held: list[tuple] = [(-1, "", {})]  # open elements that hold others, with the inline ones open in them
+        named: dict[str, list] = {}  # all open ones by name, the latest last
+        loose: list[int] = []  # links without a closing tag
+
+        def shut(k: int, at: int) -> None:
+            while len(held) > k:
+                i, name, inline = held.pop()
+                for j, other in inline.items():
+                    named[other].pop()
+                    (loose.append(j) if other == "a" else close.setdefault(j, at))
+                if i not in close:
+                    named[name].pop()
+                    close[i] = at
+
+        def reach(ends: frozenset, stops: frozenset) -> int | None:
+            """The outermost open element of ``ends`` before one of ``stops``."""
+            found = None
+            for k in range(len(held) - 1, max(0, len(held) - 1 - DEPTH), -1):
+                if held[k][0] in close:
+                    continue
+                if held[k][1] in ends:
+                    found = k
+                elif held[k][1] in stops:
+                    break
+            return found
+
+        for i, (closing, name, _) in enumerate(self.tokens):
+            if name is None or name in ("html", "body"):
+                continue
+            if not closing:
+                for ends, stops in filter(None, (_ITEMS.get(name), _ENDS.get(name))):
+                    if any(named.get(x) for x in ends) and (k := reach(ends, stops)):
+                        shut(k, i - 1)
+                if name in _HEADINGS and held[-1][1] in _HEADINGS and held[-1][0] not in close:
+                    shut(len(held) - 1, i - 1)
+                if name in VOID:
+                    continue
+                if name in _HOLDS:
+                    held.append((i, name, {}))
+                    named.setdefault(name, []).append(held[-1])
+                else:
+                    if name == "a" and named.get("a"):  # a link holds no other
+                        j, inline = named["a"].pop()
+                        del inline[j]
+                        loose.append(j)
+                    held[-1][2][i] = name
+                    named.setdefault(name, []).append((i, held[-1][2]))
+            elif named.get(name):
+                if name not in _HOLDS:
+                    j, inline = named[name].pop()
+                    del inline[j]
+                    close[j] = i
+                    continue
+                stops = _ENDS_REACH.get(name, _SCOPE) - {name}
+                k = reach(frozenset([name]), stops)
+                last = named[name][-1]
+                if k is not None:  # the innermost of that name, with all that is open in it
+                    while held[-1] is not last:
+                        shut(len(held) - 1, i - 1)
+                    shut(len(held) - 1, i)
+                else:  # tags that cross: what lies between stays open
+                    named[name].pop()
+                    close[last[0]] = i
+        loose += [j for j, _ in named.get("a", [])]
+        if loose:
+            ends, at = {}, len(self.tokens)
+            wanted = set(loose)
+            for i in range(len(self.tokens) - 1, -1, -1):
+                name = self.tokens[i][1]
+                if i in wanted:
+                    ends[i] = at - 1
+                if name in BLOCKS or name == "a" and not self.tokens[i][0]:
+                    at = i
+            close |= ends
+        return close
+
     @staticmethod
     def _named_out(attrs: str) -> bool:
         for key, value in _ATTR.findall(attrs):
@@ -119,7 +217,7 @@ class _Page:
         out: list[tuple[str, int, bool]] = []
         text: list[str] = []
         linked = 0
-        links = 0
+        link_end = -1
         main_end: list[int] = []
 
         def end_line(weighs: bool = True) -> None:
@@ -137,12 +235,10 @@ class _Page:
                 main_end.pop()
             if name is None:
                 text.append(closing)
-                if links:
+                if i < link_end:
                     linked += len(closing.strip())
             elif closing:
-                if name == "a":
-                    links = max(0, links - 1)
-                elif name in BLOCKS:
+                if name in BLOCKS:
                     end_line()
             elif name in VOID:
                 if name == "hr":
@@ -161,7 +257,7 @@ class _Page:
                 i = max(i, end)
             else:
                 if name == "a":
-                    links += 1
+                    link_end = max(link_end, self.close.get(i, len(self.tokens)) + 1)
                 elif name in BLOCKS:
                     end_line()
                 if i in mains:

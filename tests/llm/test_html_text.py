@@ -42,3 +42,39 @@ def test_rows(spark):
     got = {(r["page_id"], len(r["text"])) for r in H.extract(df).collect()}
     assert got == {(1, len(H.main_text(PAGE))), (None, 0), (2, 0), (3, 399_999)}
     assert H.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("page,text", [
+    ('<article><p>a<p class="ad">buy<p>b</p><p>c</p></article>', "a b c"),
+    ('<article><p>a<p class="ad">buy <b>now<div>b</div>c</article><p>d', "a b c"),
+    ("<article><ul><li>a<li class=ad>buy<li>b</ul><p>c</article>", "a b c"),
+    ("<article><ul><li>a<ul><li>b<li class=ad>buy</ul><li>c</ul></article>", "a b c"),
+    ("<article><dl><dt>a<dd class=ad>buy<dt>b<dd>c</dl>d</article>", "a b c d"),
+    ("<article><dl><dt class=ad>buy<dd>b</dl>c</article>", "b c"),
+    ("<article><table><tr><td>a<td class=ad>buy<td>b<tr class=ad><td>buy<td>it<tr><td>c</table>d</article>", "a b c d"),
+    ("<article><table><tr><th class=ad>buy<td><p>b<tbody class=ad><tr><td>buy<tbody><tr><td>c</table>d</article>", "b c d"),
+    ("<article><table><tr><td class=ad>buy<table><tr><td>it</table>now<td>b</table>c</article>", "b c"),
+    ("<article>a<select><option>x<option>y</select>b<datalist><option>x</datalist><p>c</article>", "a b c"),
+    ("<article><p>a<span class=ad>buy</p><p>b</article>", "a b"),
+    ("<article><p>a</p><div class=ad>buy<p>x</p></article><main>b</main>", "a b"),
+    ("<article><p>a<table><tr><td>b<td class=ad>buy</article><main>c</main>", "a b c"),
+    ("<article><b><p class=ad>buy</b> it</p><p>b</article>", "b"),
+    ("<div><article><p>a</div><p>b</p></article>", "a b"),
+])
+def test_optional_end_tags(page, text):
+    assert H.main_text(page).split() == text.split()
+
+
+@pytest.mark.parametrize("page", [
+    "<p><a name=x>Start<p>{0}<p>{0}", "<div><a name=x>Start</div><p>{0}</p><div>{0}</div>", "<body><a name=x>Start<p>{0}</p>{0}",
+    "<p>{0} <a href=x>Start <a href=y>and on</a> {0}</p>", "<ul><li><a href=x>Start<li>{0}</ul><p>{0}",
+])
+def test_open_links_end(page):
+    words = "words that weigh " * 9
+    assert H.main_text(page.format(words)).count("words that weigh") == 18
+
+
+def test_deep_and_crossing_tags_end_in_time():
+    deep = "<p><button>" + "<div><span>" * 20_000 + "</i></p>" * 20_000 + "</button><p>end"
+    assert H.main_text(deep) == "end"
+    assert H.main_text("<p>" + "<b><p>x" * 20_000).count("x") == 20_000
