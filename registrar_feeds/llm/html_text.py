@@ -5,9 +5,12 @@ footers, sidebars, notices, adverts, forms, reader comments and hidden parts
 weigh nothing.  Weights are summed over sliding windows of ``window`` lines;
 the text surges where a window's sum rises above a part of the largest and
 dives where the sums come to nothing, and the weighing lines between are kept.
-Where a page marks its article (``article`` or ``main``) only lines inside it
-weigh, and every stretch of them is kept; elsewhere a line of links weighs
-nothing, and a stretch far lighter than the heaviest is left out.
+Where a page marks its article (``article`` or ``main``) and no stretch outside
+is heavier than it, only lines inside weigh, and every stretch of them is kept.
+Elsewhere a line of links weighs nothing, and a stretch that does not surge is
+kept if it stands in the heaviest one's element (below ``body``), however light;
+a paragraph or item of links is kept among weighing ones of the same parent,
+and before or after them if it has words beside the links.
 
 Elements end as in HTML: a paragraph before the next block, an item, cell, row
 or option before its next sibling, everything with its parent; a link that is
@@ -20,10 +23,12 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
 from itertools import pairwise
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,10 +37,9 @@ from pyspark.sql import functions as F
 from registrar_feeds.llm.common import modest_batches, table
 
 WINDOW = 3
-#: Part of the largest window sum at which text surges, of the heaviest
-#: stretch that another must weigh, and of a line that links may fill.
+#: Part of the largest window sum at which text surges, and of a line that
+#: links may fill.
 SURGE = 0.1
-STRETCH = 0.2
 LINKS = 0.5
 
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt
@@ -56,6 +60,8 @@ alertdialog alert search""".split())
 #: Elements that others end in: blocks, and what else is left out whole.
 _HOLDS = BLOCKS | OUT | RAW | {"datalist"}
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Blocks that are text among their siblings, also where links fill them.
+_PARTS = _HEADINGS | frozenset("p li dd dt td th blockquote pre figcaption caption summary".split())
 _SCOPE = frozenset("article main table caption td th button object template select".split())
 #: What the start of an element ends, and what it does not reach beyond.
 _ENDS = {
@@ -83,6 +89,17 @@ _ATTR = re.compile(r"""(?:^|[\s"'/])(class|id|role|style|hidden|aria-hidden)(?:\
 _WORD = re.compile(r"[a-z]+")
 
 
+class _Line(NamedTuple):
+    text: str
+    weight: int  # length of what is not link text
+    region: int | None = None  # the outermost article or main around it
+    top: int = -1  # the element below body that it shares with others; -1: none
+    parent: int = -1  # the element around its block
+    block: str = ""  # the name of its block
+    plain: bool = False  # are there letters outside of links?
+    out: bool = False  # within a left-out element that stays for the article in it
+
+
 class _Page:
     """Tokens of a page: text, and tags with the place of the closing one."""
 
@@ -202,41 +219,49 @@ class _Page:
         return False
 
     def left_out(self, i: int, inside: bool) -> bool:
-        """Does the element that opens at token ``i`` hold no main text?"""
+        """Is the element that opens at token ``i`` one that holds no main text?"""
         _, name, attrs = self.tokens[i]
         if name in ("html", "body"):
             return False
-        out = name in OUT or name in RAW or name == "header" and not inside or attrs and self._named_out(attrs)
-        if not out or name in ("article", "main"):
-            return bool(out)
-        end = self.close.get(i, len(self.tokens))
-        return not any(i < m < end for m in self.mains)  # what wraps the article stays
-
-    def lines(self) -> list[tuple[str, int, bool]]:
-        """Text, length of what is not link text, inside the article: for each block."""
-        out: list[tuple[str, int, bool]] = []
+        return bool(name in OUT or name in RAW or name == "header" and not inside or attrs and self._named_out(attrs))
+
+    def lines(self) -> list[_Line]:
+        """One for each block; an empty one for each left-out block."""
+        out: list[_Line] = []
         text: list[str] = []
         linked = 0
-        link_end = -1
-        main_end: list[int] = []
-
-        def end_line(weighs: bool = True) -> None:
-            nonlocal text, linked
+        link_end = out_end = -1
+        plain = False
+        place: tuple = ()
+        mains_open: list[tuple[int, int]] = []  # end, token
+        path: list[tuple[int, str, int]] = []  # open elements around: token, name, end
+
+        def end_line() -> None:
+            nonlocal text, linked, plain, place
             line = " ".join(html.unescape("".join(text)).split()) if text else ""
             if line:
-                out.append((line, max(0, len(line) - linked) if weighs else 0, bool(main_end)))
-            text, linked = [], 0
+                out.append(_Line(line, max(0, len(line) - linked), mains_open[0][1] if mains_open else None,
+                                 *(place or (-1, -1, "", False))[:3], plain, bool(place and place[3])))
+            text, linked, plain, place = [], 0, False, ()
 
-        i, mains = 0, set(self.mains)
-        while i < len(self.tokens):
+        i, mains, n = 0, set(self.mains), len(self.tokens)
+        while i < n:
             closing, name, _ = self.tokens[i]
-            while main_end and i >= main_end[-1]:
+            while mains_open and i >= mains_open[-1][0]:
                 end_line()
-                main_end.pop()
+                mains_open.pop()
+            while path and i > path[-1][2]:
+                path.pop()
             if name is None:
                 text.append(closing)
+                bare = closing.strip()
+                if bare and not place:
+                    shared = len(path) > 1
+                    place = (path[0][0] if shared else -1, path[-2][0] if shared else -1, path[-1][1] if path else "", i <= out_end)
                 if i < link_end:
-                    linked += len(closing.strip())
+                    linked += len(bare)
+                elif not plain:
+                    plain = any(map(str.isalpha, bare))
             elif closing:
                 if name in BLOCKS:
                     end_line()
@@ -245,23 +270,32 @@ class _Page:
                     end_line()
                 elif name in ("br", "wbr") and name == "br":
                     text.append(" ")
-            elif self.left_out(i, bool(main_end)):
-                if name in BLOCKS or name in OUT:
-                    end_line()
-                # its lines weigh nothing: one empty line stands for them
-                if name in BLOCKS:
-                    out.append(("", 0, bool(main_end)))
-                end = self.close.get(i)
-                if end is None:  # never closed: up to the article, or the end
-                    end = next((m for m in self.mains if m > i), len(self.tokens)) - 1
-                i = max(i, end)
             else:
-                if name == "a":
-                    link_end = max(link_end, self.close.get(i, len(self.tokens)) + 1)
-                elif name in BLOCKS:
-                    end_line()
-                if i in mains:
-                    main_end.append(self.close.get(i, len(self.tokens)))
+                end = self.close.get(i)
+                skip = self.left_out(i, bool(mains_open))
+                if skip and name not in ("article", "main"):
+                    at = bisect.bisect_right(self.mains, i)
+                    first = self.mains[at] if at < len(self.mains) else n
+                    if first < (n if end is None else end):  # what wraps the article stays
+                        skip, out_end = False, max(out_end, first - 1 if end is None else end)
+                if skip:
+                    if name in BLOCKS or name in OUT:
+                        end_line()
+                    # its lines weigh nothing: one empty line stands for them
+                    if name in BLOCKS:
+                        out.append(_Line("", 0, mains_open[0][1] if mains_open else None))
+                    if end is None:  # never closed: up to the article, or the end
+                        end = next((m for m in self.mains if m > i), n) - 1
+                    i = max(i, end)
+                else:
+                    if name == "a":
+                        link_end = max(link_end, (n if end is None else end) + 1)
+                    elif name in BLOCKS:
+                        end_line()
+                    if name in _HOLDS and name not in ("html", "body"):
+                        path.append((i, name, n if end is None else end))
+                    if i in mains:
+                        mains_open.append((n if end is None else end, i))
             i += 1
         end_line()
         return out
@@ -287,23 +321,35 @@ def stretches(weights: list[int], window: int = WINDOW, surge: float = SURGE) ->
     return out
 
 
-def main_text(source: str | None, window: int = WINDOW, surge: float = SURGE, stretch: float = STRETCH,
-              links: float = LINKS) -> str:
+def main_text(source: str | None, window: int = WINDOW, surge: float = SURGE, links: float = LINKS) -> str:
     if not source:
         return ""
     lines = _Page(source).lines()
-    inside = any(m and w for _, w, m in lines) or any(m and t for t, _, m in lines)
-    if inside:
-        weights = [len(t) if m else 0 for t, _, m in lines]
+    weights = [x.weight if x.weight > (1 - links) * len(x.text) and not x.out else 0 for x in lines]
+    regions: dict[int, int] = {}
+    for x in lines:
+        if x.text and x.region is not None:
+            regions[x.region] = regions.get(x.region, 0) + x.weight
+    outside = [0 if x.region is not None else w for x, w in zip(lines, weights, strict=True)]
+    if regions and max(regions.values()) >= max((sum(outside[a:b]) for a, b in stretches(outside, window, 0.0)), default=0):
+        weights = [len(x.text) if x.region is not None else 0 for x in lines]
         found = stretches(weights, window, 0.0)
+        beside = []
     else:
-        weights = [w if w > (1 - links) * len(t) else 0 for t, w, _ in lines]
-        found = stretches(weights, window, surge)
-        mass = [sum(weights[a:b]) for a, b in found]
-        found = [f for f, m in zip(found, mass, strict=True) if m >= stretch * max(mass)]
+        found = stretches(weights, window, 0.0)
+        if found:
+            surging = set(stretches(weights, window, surge))
+            tops = lambda f: {lines[i].top for i in range(*f) if weights[i]}
+            heaviest = tops(max(found, key=lambda f: sum(weights[f[0]:f[1]])))
+            found = [f for f in found if f in surging or not heaviest.isdisjoint(tops(f))]
+        spans: dict[int, list[int]] = {}  # first and last weighing line of a parent
+        for i in (i for a, b in found for i in range(a, b) if weights[i]):
+            spans.setdefault(lines[i].parent, [i, i])[1] = i
+        beside = [i for i, x in enumerate(lines) if x.text and not weights[i] and not x.out and x.block in _PARTS
+                  and x.parent in spans and (x.plain or spans[x.parent][0] < i < spans[x.parent][1])]
     assert all(a[1] <= b[1] for a, b in pairwise(found))
-    keep = sorted({i for a, b in found for i in range(a, b) if weights[i]})
-    return "\n\n".join(lines[i][0] for i in keep)
+    keep = sorted({i for a, b in found for i in range(a, b) if weights[i]}.union(beside))
+    return "\n\n".join(lines[i].text for i in keep)
 
 
 def extract(pages: DataFrame, **options) -> DataFrame:

@@ -78,3 +78,38 @@ def test_deep_and_crossing_tags_end_in_time():
     deep = "<p><button>" + "<div><span>" * 20_000 + "</i></p>" * 20_000 + "</button><p>end"
     assert H.main_text(deep) == "end"
     assert H.main_text("<p>" + "<b><p>x" * 20_000).count("x") == 20_000
+
+
+LEAD, BODY, END = "lead " * 60, "body " * 1000, "closing " * 20
+TOC = "<ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li><a href=3>Three</a></li></ul>"
+GAP = "<div class=ad>buy</div>" * 3
+
+
+@pytest.mark.parametrize("page", [
+    f"<div id=content><p>{LEAD}</p>{TOC}<p>{BODY}</p>{GAP}<p>{END}</p></div>",
+    f"<p>{LEAD}{TOC}<p>{BODY}{GAP}<p>{END}",
+    f"<div><section><p>{LEAD}</section>{TOC}<section><p>{BODY}</section>{GAP}<section><p>{END}</section></div>",
+])
+def test_light_stretches_of_the_main_element_stay(page):
+    assert H.main_text(page).split() == (LEAD + BODY + END).split()
+
+
+def test_paragraphs_of_links_stay_in_the_text():
+    links = "<p>See <a href=x>the first long reference</a> and <a href=y>the second long reference</a></p>"
+    see = "See the first long reference and the second long reference"
+    for page in (f"<div><p>{LEAD}</p>{links}<p>{LEAD}</p></div>", f"<article><p>{LEAD}</p>{links}<p>{LEAD}</p></article>"):
+        assert H.main_text(page) == f"{LEAD.strip()}\n\n{see}\n\n{LEAD.strip()}"
+    assert H.main_text(f"<div><p>{LEAD}</p>{links}</div>{TOC}") == f"{LEAD.strip()}\n\n{see}"
+    menu = "<p><a href=x>Home</a> | <a href=y>About</a></p>"
+    assert H.main_text(f"<div>{menu}<p>{LEAD}</p></div>") == LEAD.strip()
+
+
+def test_articles_beside_a_heavier_body():
+    card = "<article><h3>Card</h3><p>teaser</p></article>"
+    for page in (f"<div id=content><p>{LEAD}</p><p>{BODY}</p></div><aside>{card * 3}</aside>",
+                 f"<div class=related-box>{card * 3}</div><div id=content><p>{LEAD}</p><p>{BODY}</p></div>"):
+        assert H.main_text(page).split() == (LEAD + BODY).split()
+    page = f"<div id=content><p>{LEAD}</p><p>{BODY}</p></div>{card * 3}"
+    assert H.main_text(page).split()[:1060] == (LEAD + BODY).split()
+    assert H.main_text(f"<div><p>{LEAD}</p></div><article><p>{BODY}</p></article>").split() == BODY.split()
+    assert H.main_text(f"<nav>menu<article>card</article></nav><div><p>{BODY}</p></div>").split() == BODY.split()
