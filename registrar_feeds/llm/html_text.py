@@ -12,6 +12,11 @@ kept if it stands in the heaviest one's element (below ``body``), however light;
 a paragraph or item of links is kept among weighing ones of the same parent,
 and before or after them if it has words beside the links.
 
+What names an element as none of the text is a word of its class, id or role;
+inside an article, and for the article itself, only a whole class or role of
+strong meaning, or an id of that one word.  The ids of headings and sections
+name their subject, and so do ids of more words inside an article.
+
 Elements end as in HTML: a paragraph before the next block, an item, cell, row
 or option before its next sibling, everything with its parent; a link that is
 never closed ends at the next block or link.
@@ -81,6 +86,12 @@ _ENDS_REACH = {**dict.fromkeys("table caption tbody thead tfoot tr td th".split(
 #: Open elements that an implied end is looked for among, as in browsers.
 DEPTH = 512
 
+#: Classes, roles and ids that say it inside an article.
+OUT_NAMES = frozenset("""ad ads adv advert adverts advertisement advertising adsense sponsored promo promotion
+cookie cookies consent gdpr popup modal overlay nav navbar navigation breadcrumb breadcrumbs sidebar masthead topbar
+comments commentlist disqus newsletter subscribe signup login pagination pager complementary contentinfo
+alertdialog""".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
@@ -123,7 +134,7 @@ class _Page:
         self.close = self._ends()
         # text holders: an article or main that is not itself left out
         self.mains = [i for i, (closing, name, attrs) in enumerate(self.tokens)
-                      if name in ("article", "main") and not closing and not self._named_out(attrs)]
+                      if name in ("article", "main") and not closing and not self._named_out(name, attrs, True)]
 
     def _ends(self) -> dict[int, int]:
         """For each element's first token the last one: its closing tag, or what
@@ -206,16 +217,26 @@ class _Page:
         return close
 
     @staticmethod
-    def _named_out(attrs: str) -> bool:
-        for key, value in _ATTR.findall(attrs):
+    def _named_out(name: str, attrs: str, inside: bool) -> bool:
+        found = _ATTR.findall(attrs)
+        classes = {x for key, value in found if key.lower() == "class" for x in value.strip("\"'").lower().split()}
+        for key, value in found:
             key, value = key.lower(), value.strip("\"'").lower()
             if key == "hidden" or key == "aria-hidden" and value == "true":
                 return True
             if key == "style":
                 if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
                     return True
-            elif key in ("class", "id", "role") and not OUT_WORDS.isdisjoint(_WORD.findall(value)):
-                return True
+            elif key == "id" and (name in _HEADINGS or name == "section" or "section" in classes):
+                continue
+            elif key in ("class", "id", "role"):
+                if not inside:
+                    if not OUT_WORDS.isdisjoint(_WORD.findall(value)):
+                        return True
+                elif not OUT_NAMES.isdisjoint(value.split()):
+                    return True
+                elif key == "class" and name in BLOCKS and "comment" in value.split():
+                    return True  # of a reader; within a line it is one of program code
         return False
 
     def left_out(self, i: int, inside: bool) -> bool:
@@ -223,7 +244,7 @@ class _Page:
         _, name, attrs = self.tokens[i]
         if name in ("html", "body"):
             return False
-        return bool(name in OUT or name in RAW or name == "header" and not inside or attrs and self._named_out(attrs))
+        return bool(name in OUT or name in RAW or name == "header" and not inside or attrs and self._named_out(name, attrs, inside or name in ("article", "main")))
 
     def lines(self) -> list[_Line]:
         """One for each block; an empty one for each left-out block."""

@@ -113,3 +113,29 @@ def test_articles_beside_a_heavier_body():
     assert H.main_text(page).split()[:1060] == (LEAD + BODY).split()
     assert H.main_text(f"<div><p>{LEAD}</p></div><article><p>{BODY}</p></article>").split() == BODY.split()
     assert H.main_text(f"<nav>menu<article>card</article></nav><div><p>{BODY}</p></div>").split() == BODY.split()
+
+
+@pytest.mark.parametrize("element", [
+    '<section id="related-work">', '<section id="search-methods">', '<h2 id="comments-on-the-results">', '<p class="alert">',
+    '<section id="search">', '<div class="section" id="navigation">', '<div id="sharing-of-results">', '<p class="social-theory">',
+    '<span class="token comment">', '<span class="hljs-comment">', '<p role="alert">', '<div class="login-free">', '<p id=cookie-law>',
+])
+def test_names_of_text_inside_an_article(element):
+    name = element[1:].split()[0]
+    assert H.main_text(f"<article><p>a</p>{element}b</{name.strip('>')}><p>c</p></article>").split() == ["a", "b", "c"]
+
+
+@pytest.mark.parametrize("element", [
+    '<div class="ad">', '<p class="box ads">', '<div id=comments>', '<li class="comment even">', '<div role=navigation>',
+    '<section class=newsletter>', '<section class="comments" id=x>', '<p hidden>', '<div class="wide Advert">',
+])
+def test_names_of_no_text_inside_an_article(element):
+    name = element[1:].split()[0]
+    assert H.main_text(f"<article><p>a</p>{element}b</{name}><p>c</p></article>").split() == ["a", "c"]
+
+
+def test_names_elsewhere():
+    assert H.main_text('<h2 id="comments-on-the-results">a</h2><section id="related-work"><p>b</p></section>').split() == ["a", "b"]
+    assert H.main_text('<p>a</p><div id="cookie-banner">x</div><div class="related-posts">y</div>') == "a"
+    assert H.main_text('<article id="search-methods" class="post share-enabled"><p>a</p></article><p>x') == "a"
+    assert H.main_text('<article class="post comment"><p>x</p></article><main>a</main>') == "a"
