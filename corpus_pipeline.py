@@ -3,7 +3,9 @@
 Each stage takes the documents that the stage before it kept, as Parquet, and
 all but the last return them under the columns of ``documents``:
 
-1. language: documents that are in no language (no text or no letter) go;
+1. language: documents that are in no language (no text or no letter) go, by
+   their letters alone: the model's language and score reject none, and without
+   labelled rows to learn from the rule is the same;
 2. lines: boilerplate lines of a source go; every document stays.  Copies count
    as one page, and a document that would be left without a letter stays whole,
    so that the next stage still finds the text of copies;
@@ -26,7 +28,10 @@ from registrar_feeds.llm.common import kept, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language_id.identify(docs, language_id.train(docs))
+    model = language_id.train(docs)
+    if model is None:
+        return language_id.lettered(docs)
+    found = language_id.identify(docs, model)
     return found.where(F.col("__lang_pred") != language_id.UND).select(*docs.columns)
 
 

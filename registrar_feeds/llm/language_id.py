@@ -157,6 +157,8 @@ def train(docs: DataFrame, fit_rows: int = FIT_ROWS, landmarks: int = LANDMARKS,
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.string(), pa.int32(), pa.binary()), strict=True)], ["lang", "rank", "bits"])
 
     got = sorted(sample.mapInArrow(sets, "lang string, rank int, bits binary").collect())
+    if not got:  # no labelled text has a letter
+        return None
     flags = np.unpackbits(np.array([np.frombuffer(r["bits"], np.uint8) for r in got], np.uint8).reshape(len(got), -1), axis=1)
     return fit(flags.astype(bool), [r["lang"] for r in got], landmarks, ridge)
 
@@ -184,6 +186,18 @@ def identify(docs: DataFrame, model: Model | None, batch: int = BATCH) -> DataFr
     return modest_batches(docs).mapInArrow(run, schema)
 
 
+def lettered(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose text has a letter, by the letters that the
+    n-grams know; it takes no model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        g, flags = grams(), np.zeros(1 << GRAM_BITS, bool)
+        for rb in batches:
+            yield rb.filter(pa.array([g(t.as_py(), flags) for t in rb["text"]], pa.bool_()))
+
+    return modest_batches(docs).mapInArrow(run, docs.schema)
+
+
 def op9_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = identify(docs.select("doc_id", "text"), train(docs))

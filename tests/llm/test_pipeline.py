@@ -67,6 +67,18 @@ def test_rejected_documents_have_no_letters(spark):
     assert language_id.UND == "und" and line_dedup.RATIO < 1
 
 
+def test_language_without_a_model_rejects_by_letters_alone(spark):
+    rows = [(1, "some words", None), (2, "12 3", None), (3, None, None), (4, "漢字", None), (None, "more", "en"), (None, "", "en")]
+    docs = documents(spark, rows, CLASH)
+    assert language_id.train(docs) is None
+    out = C.language(spark, docs, "")
+    assert out.columns == docs.columns
+    assert sorted(r["text"] for r in out.collect()) == ["more", "some words", "漢字"]
+    labels = documents(spark, [(i, "12 3", "en") for i in range(20)] + [(50, "some words", None)])
+    assert language_id.train(labels) is None and [r["doc_id"] for r in C.language(spark, labels, "").collect()] == [50]
+    assert C.language(spark, documents(spark, []), "").count() == 0
+
+
 def test_copies_survive_once(spark):
     """A third of the rows are copies of one page, five near copies differ in a number."""
     tell = lambda i, n=30: " ".join(f"w{i}x{k}" for k in range(n))
