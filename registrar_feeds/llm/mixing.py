@@ -7,7 +7,9 @@ proportion to what each still has to give, so that the totals come out exactly.
 Slot ``i`` of a source's pass stands for block ``perm(i)``, where ``perm`` is a
 keyed pseudorandom permutation of the source's block numbers (a Feistel network
 with cycle walking), so no block comes twice in a pass and no shuffle of the
-corpus is needed.  Slots and blocks meet in one equi-join on (source, block).
+corpus is needed.  The stream's order is that of a hash of doc_id, source and
+text, so what is taken of a document hangs on the rows alone, not on files,
+partitions or cores.  Slots and blocks meet in one equi-join on (source, block).
 
 Defined cases: a null text has no words and its document takes no part (taken
 0); a null source is a source of its own, ordered last; a source without words
@@ -129,8 +131,9 @@ def draws(slots: list[int], shard_slots: int, seed: int) -> list[tuple[int, int,
 class Mix:
     """One mix of ``docs`` (doc_id, text, source).
 
-    ``docs``: the input's ``columns`` with ``__uid`` (a number of the row) and
-    ``__size``.  ``sources``: a row for each source with its size and target.
+    ``docs``: the input's ``columns`` with ``__uid`` (a number of the row, for
+    joins and among equal rows), ``__ha``, ``__hb`` and ``__hc`` (hashes of the
+    content, and of all columns) and ``__size``.  ``sources``: a row for each source with its size and target.
     ``pieces``: what the mix takes: __uid, pass, first (word of the document,
     from 0), words, shard, slot.
     """
@@ -139,8 +142,13 @@ class Mix:
                  shard_slots: int = SHARD_SLOTS, chunk_docs: int = CHUNK_DOCS, seed: int = 42):
         spark = docs.sparkSession
         cols = list(dict.fromkeys([*columns, "source"]))
+        content = [docs[c] for c in ("doc_id", "source", "text")]
+        kinds = dict(docs.dtypes)
+        every = [docs[c] for c in cols if "map<" not in kinds[c] and "variant" not in kinds[c]]
         self.docs = kept(docs.select(
             *[docs[c] for c in cols], word_count(text_or_empty(docs)).alias("__size"),
+            F.xxhash64(*content).alias("__ha"), F.xxhash64(F.lit(1), *content).alias("__hb"),
+            F.xxhash64(F.lit(2), *every).alias("__hc"),
             F.monotonically_increasing_id().alias("__uid")), "mix-docs")
         total = (self.docs.groupBy("source").agg(F.sum("__size").alias("size"), F.count(F.lit(1)).alias("n"))
                  .collect())
@@ -161,12 +169,12 @@ class Mix:
         # the stream of a source: its documents by chunk (a hash), so that a
         # source with a large part of all rows is summed in many windows
         base = (self.docs.where("__size > 0").join(self.sources, F.col("source").eqNullSafe(F.col("__source")))
-                .select("__uid", "__size", "__sid",
-                        F.pmod(F.xxhash64("__uid"), F.lit(chunks)).alias("__chunk")))
+                .select("__uid", "__size", "__sid", "__ha", "__hb", "__hc",
+                        F.pmod("__ha", F.lit(chunks)).alias("__chunk")))
         per = base.groupBy("__sid", "__chunk").agg(F.sum("__size").alias("__n"))
         before = Window.partitionBy("__sid").orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
         offs = per.select("__sid", "__chunk", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
-        inside = Window.partitionBy("__sid", "__chunk").orderBy("__uid").rowsBetween(Window.unboundedPreceding, -1)
+        inside = Window.partitionBy("__sid", "__chunk").orderBy("__ha", "__hb", "__hc", "__uid").rowsBetween(Window.unboundedPreceding, -1)
         laid = (base.withColumn("__in", F.coalesce(F.sum("__size").over(inside), F.lit(0)))
                 .join(offs, ["__sid", "__chunk"])
                 .select("__sid", "__uid", "__size", (F.col("__off") + F.col("__in")).alias("__at")))

@@ -88,6 +88,16 @@ def test_mixed_documents_hold_the_words_taken(spark):
     assert words == {d: n for d, n in taken.items() if n}
 
 
+@pytest.mark.parametrize("options", [{}, {"block_words": 7, "shard_slots": 50, "chunk_docs": 20}])
+def test_taken_does_not_hang_on_the_layout(spark, options):
+    data = rows() + [(7, "tok " * 7, "en", "s3")] * 9 + [(None, "same words", "en", "s1")] * 5
+    taken, texts = [], []
+    for df in (documents(spark, data).coalesce(1), documents(spark, data[::-1]).repartition(7), documents(spark, data).repartition(3, "text")):
+        taken.append(sorted(map(str, M.Mix(df, **options).taken().collect())))
+        texts.append(sorted(map(str, M.mixed_documents(df, **options).collect())))
+    assert taken[0] == taken[1] == taken[2] and texts[0] == texts[1] == texts[2]
+
+
 def test_edge_cases(spark):
     df = documents(spark, edge_rows(3000), CLASH)
     got = M.Mix(df).taken().toPandas()
