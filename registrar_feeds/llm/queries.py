@@ -13,6 +13,7 @@ from registrar_feeds.llm import (
     packing,
     pii,
     topk_search,
+    vector_codes,
 )
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_ngram_join": ngram_join.op8_ngram_join,
     "op9_language_id": language_id.op9_language_id,
     "op10_mix": mixing.op10_mix,
+    "op12_vector_codes": vector_codes.op12_vector_codes,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -33,4 +35,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op6_topk_search": topk_search.OP6_SQL,
     "op8_ngram_join": ngram_join.OP8_SQL,
+    "op12_vector_codes": vector_codes.OP12_SQL,
 }
