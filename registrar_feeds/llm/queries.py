@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from registrar_feeds.llm import (
+    divergence,
     exact_dedup,
     html_text,
     language_id,
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_ngram_join": ngram_join.op8_ngram_join,
     "op9_language_id": language_id.op9_language_id,
     "op10_mix": mixing.op10_mix,
+    "op11_source_divergence": divergence.op11_source_divergence,
     "op12_vector_codes": vector_codes.op12_vector_codes,
 }
 
@@ -35,5 +37,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.OP5_SQL,
     "op6_topk_search": topk_search.OP6_SQL,
     "op8_ngram_join": ngram_join.OP8_SQL,
+    "op11_source_divergence": divergence.OP11_SQL,
     "op12_vector_codes": vector_codes.OP12_SQL,
 }
