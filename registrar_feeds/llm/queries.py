@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from registrar_feeds.llm import (
+    class_lm,
     divergence,
     exact_dedup,
     html_text,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_mix": mixing.op10_mix,
     "op11_source_divergence": divergence.op11_source_divergence,
     "op12_vector_codes": vector_codes.op12_vector_codes,
+    "op13_class_lm": class_lm.op13_class_lm,
 }
 
 ORACLE_SQL: dict[str, str] = {
