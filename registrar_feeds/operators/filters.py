@@ -88,11 +88,24 @@ def preferred_names(addresses: DataFrame) -> DataFrame:
     return addresses.where(F.col("style") == V.PREFERRED_NAME_STYLE)
 
 
-def audit_recent_pred(as_of: AsOf, ts: str = "audit_timestamp", day: str = "audit_date") -> Column:
+def audit_recent_pred(as_of: AsOf, ts: str = "audit_timestamp", day: str = "audit_date",
+                      month: str = "audit_month") -> Column:
     """Audit images after yesterday 00:00 (exclusive).
 
-    The staged audit date carries the implied bound ``date >= yesterday``: it
-    changes no result and is the form Parquet statistics can skip data on.
+    The staged audit date and month carry the implied bounds of yesterday: they
+    change no result, and one of them is the folder the images lie in.
     """
-    return ((F.col(day) >= F.lit(as_of.days_ago(V.AUDIT_DAYS_BACK)))
+    first = as_of.days_ago(V.AUDIT_DAYS_BACK)
+    return ((F.col(day) >= F.lit(first)) & (F.col(month) >= F.lit(f"{first:%Y-%m}"))
             & (F.col(ts) > as_of.midnight_lit(V.AUDIT_DAYS_BACK)))
+
+
+def in_list(column: str | Column, values: DataFrame, of: str) -> Column:
+    """Whether ``column`` is among the values of ``of``; a null is not.
+
+    The list is a scalar subquery, read when the plan runs and once for all
+    scans that use it: a filter on a partition column then opens those folders
+    alone, whatever the planner broadcasts or shuffles.  Meant for the codes of
+    folders (years, terms), of which there are no more than folders.
+    """
+    return F.array_contains(values.agg(F.collect_set(of)).scalar(), C.col(column))

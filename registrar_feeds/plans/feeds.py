@@ -118,21 +118,20 @@ def feed_users(t: dict[str, DataFrame], as_of: AsOf, school: str = V.DEFAULT_SCH
 def enrollment_open(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
     """ENROLLMENT, first arm: enrolments in offered sections of current terms.
 
-    Enrolments are cut to the in-window terms first (a direct join on the
-    partition column, so only those terms' folders are read; the window holds a
-    few terms of each programme, hence the broadcast), then by NOT IN.  The
+    Enrolments and offerings are cut to the in-window terms first, by a list of
+    term codes read when the plan runs (``filters.in_list``), so that only those
+    terms' folders are opened; enrolments then by NOT IN.  The
     section master is joined without the year, so a section repeats for each
     year it was taught (kept: it is the feed's multiplicity).
     """
     trm = Fl.term_window(t["jenztrm_rec"], as_of).select(F.col("term_code").alias("t_term_code"), "start_date")
-    codes = F.broadcast(trm.select(F.col("t_term_code").alias("w_term_code")).distinct())
-    crp = (t["jenzcrp_rec"].join(codes, F.col("w_term_code") == F.col("term_code"), "left_semi")
-           .where(Fl.program_ok_by_term("term_code"))
+    at_hand = Fl.in_list("term_code", trm, "t_term_code")
+    crp = (t["jenzcrp_rec"].where(at_hand).where(Fl.program_ok_by_term("term_code"))
            .withColumn("uid", C.to_number("host_id")))
     crp = P.preff_exclusion(crp, "uid", t["role_rec"], as_of)
     crp = crp.select(F.col("course_code").alias("e_course_code"), F.col("sec").alias("e_sec"),
                      F.col("term_code").alias("e_term_code"), "uid", F.col("status_code").alias("e_status"))
-    crs = t["jenzcrs_rec"].join(codes, F.col("w_term_code") == F.col("term_code"), "left_semi")
+    crs = t["jenzcrs_rec"].where(at_hand)
     sr = t["sec_rec"].select(F.col("course_key").alias("s_course_key"), F.col("sec_no").alias("s_sec_no"),
                              C.trim("sess").alias("s_sess"), F.col("subsess").alias("s_subsess"))
     j = (crs.join(trm, F.col("t_term_code") == F.col("term_code"))

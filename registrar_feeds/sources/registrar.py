@@ -8,22 +8,28 @@ Staging conforms a table to its fixed schema and right-trims its key columns,
 so that joins and compares behave like the source's CHAR compares (trailing
 blanks ignored).  Feeds read staged tables; writing the staged tables once
 (``write_tables``) lets every later filter reach the Parquet scan.
+
+What is staged is checked against the schema on both ends: a frame is before it
+is written, and so are the files' own columns before they are read, as a forced
+schema would read an absent column as nulls and empty a feed in silence.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from registrar_feeds.sources.schemas import (
-    AUDIT_NAMESPACE, CLUSTER_COLUMNS, KEY_COLUMNS, OPTIONAL_COLUMNS, PARTITION_COLUMNS, SCHEMAS, STAGED_EXTRA,
-    TABLES, staged_schema,
+    AUDIT_NAMESPACE, BY_MONTH, CLUSTER_COLUMNS, KEY_COLUMNS, OPTIONAL_COLUMNS, PARTITION_COLUMNS, SCHEMAS,
+    STAGED_EXTRA, TABLES, staged_schema,
 )
 from registrar_feeds.functions import codes as C
 
 # How staging derives the STAGED_EXTRA columns.
 _DERIVED = {
     ("audit_sec_rec", "audit_date"): lambda: F.to_date(F.col("audit_timestamp")),
+    ("audit_sec_rec", "audit_month"): lambda: F.date_format(F.col("audit_timestamp"), "yyyy-MM"),
     ("crs_rec", "course_key"): lambda: C.course_code("crs_no", "cat"),
     ("sec_rec", "course_key"): lambda: C.course_code("crs_no", "cat"),
     ("jenzcrs_rec", "course_key"): lambda: C.trim("course_code"),
@@ -79,19 +85,54 @@ def stage(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: stage_table(name, tables[name]) for name in TABLES}
 
 
+def check_staged(name: str, found: T.StructType, folders: tuple[str, ...] = ()) -> None:
+    """Raise unless ``found`` has every column of the staged table ``name`` with
+    its type; those in ``folders`` (directory columns) by name alone, as a
+    directory has no type.  Further columns do no harm."""
+    have = {f.name: f.dataType for f in found.fields}
+    want = staged_schema(name).fields
+    absent = [f.name for f in want if f.name not in have]
+    if absent:
+        raise ValueError(f"staged table {name}: columns absent: {', '.join(absent)}")
+    wrong = [f"{f.name} is {have[f.name].simpleString()}, not {f.dataType.simpleString()}"
+             for f in want if f.name not in folders and have[f.name] != f.dataType]
+    if wrong:
+        raise ValueError(f"staged table {name}: {'; '.join(wrong)}")
+
+
+def _folder_columns(path: str, files: list[str]) -> tuple[str, ...]:
+    """Directory columns (``name=value``) of the files below ``path``."""
+    inside = files[0].split(path.rstrip("/").rsplit("/", 1)[-1] + "/", 1)[-1].split("/")[:-1]
+    return tuple(d.split("=", 1)[0] for d in inside if "=" in d)
+
+
+def read_staged(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """One staged table, after a check of the files' own columns.
+
+    A table is always replaced as a whole, so one file's footer speaks for all;
+    a table without rows may have no file.
+    """
+    df = spark.read.schema(staged_schema(name)).parquet(path)
+    files = df.inputFiles()
+    if files:
+        check_staged(name, spark.read.parquet(path).schema, _folder_columns(path, files))
+    return df
+
+
 def read_tables(spark: SparkSession, base: str, env: str = "live", staged: bool = True,
                 names: tuple[str, ...] = TABLES) -> dict[str, DataFrame]:
     """The registrar tables of one environment, read with their fixed schemas.
 
     ``staged=False`` reads raw source extracts, under the schema of their files,
     and stages them on the fly; staged tables are read under the schema they
-    were written with.
+    were written with, and it is an error if their files lack a column of it or
+    have it with another type.
     """
     check_env(env)
     out = {}
     for name in names:
         if staged:
-            out[name] = spark.read.schema(staged_schema(name)).parquet(table_path(base, env, name))
+            out[name] = read_staged(spark, name, table_path(base, env, name))
         else:
             out[name] = stage_table(name, spark.read.parquet(table_path(base, env, name)))
     return out
@@ -99,12 +140,14 @@ def read_tables(spark: SparkSession, base: str, env: str = "live", staged: bool
 
 def write_tables(tables: dict[str, DataFrame], base: str, env: str = "live",
                  row_group_bytes: int | None = None, cluster: bool = True,
-                 partition: bool = True) -> None:
+                 partition: bool = True, audit_by: str = "day") -> None:
     """Write staged tables (those in ``tables``) as Parquet, one folder per table.
 
     ``partition`` writes the history tables of ``PARTITION_COLUMNS`` in one
     directory per year, term or day (read back with the same columns; the
-    partition column comes last).  ``cluster`` deals rows to tasks by ranges of
+    partition column comes last).  ``audit_by="month"`` compacts the audit trail
+    to a directory per month: fewer and larger files, of which the time window
+    skips those of other days by their statistics.  ``cluster`` deals rows to tasks by ranges of
     (partition columns, ``CLUSTER_COLUMNS``) and sorts them there: files hold
     disjoint ranges, so file and row-group statistics let the date windows skip
     them at any row-group size, and a directory has as many files as its share
@@ -113,8 +156,11 @@ def write_tables(tables: dict[str, DataFrame], base: str, env: str = "live",
     groups, so it bounds the read parallelism of small tables (keep the default,
     128 MB, for large ones).
     """
+    folders = {"day": PARTITION_COLUMNS, "month": BY_MONTH}[audit_by] if partition else {}
+    for name, df in tables.items():
+        check_staged(name, df.schema)
     for name, df in tables.items():
-        parts = PARTITION_COLUMNS.get(name, ()) if partition else ()
+        parts = folders.get(name, ())
         order = tuple(parts) + (CLUSTER_COLUMNS.get(name, ()) if cluster else ())
         if order:
             # partition columns first: the partitioned writer needs that

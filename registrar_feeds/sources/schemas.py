@@ -54,11 +54,11 @@ SCHEMAS: dict[str, T.StructType] = {
 TABLES = tuple(SCHEMAS)
 
 # Columns staging adds (derived from the source columns), appended to the
-# source schema.  The audit date is the directory a day's images lie in.  The
+# source schema.  Audit images lie in a directory for each day or month.  The
 # course key and the slices of term code and section key are join keys of
 # several feeds: worked out once, the joins are plain column equalities.
 STAGED_EXTRA: dict[str, tuple[tuple[str, T.DataType], ...]] = {
-    "audit_sec_rec": (("audit_date", D),),
+    "audit_sec_rec": (("audit_date", D), ("audit_month", S)),
     "crs_rec": (("course_key", S),),
     "sec_rec": (("course_key", S),),
     "jenzcrs_rec": (("course_key", S), ("term_sess", S), ("term_year", S), ("key_year", S)),
@@ -128,5 +128,16 @@ PARTITION_COLUMNS: dict[str, tuple[str, ...]] = {
     "audit_sec_rec": ("audit_date",),
 }
 
+# The same with the audit trail in a folder for each month, its files sorted by
+# time: for trails of which a day fills less than a file.
+BY_MONTH: dict[str, tuple[str, ...]] = {**PARTITION_COLUMNS, "audit_sec_rec": ("audit_month",)}
+
+# Bucketed layout (``catalog.store_tables``): both sides of the meeting pattern's
+# join lie in the same buckets of the meeting number.
+BUCKET_COLUMNS: dict[str, tuple[str, ...]] = {
+    "secmtg_rec": ("mtg_no",),
+    "mtg_rec": ("mtg_no",),
+}
+
 # Where the audit table lives: a second database at the source.
 AUDIT_NAMESPACE = "audit"

@@ -1,0 +1,94 @@
+"""What is staged is checked on both ends: no forced schema hides an absent column."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from registrar_feeds.asof import FIXTURE_AS_OF as A
+from registrar_feeds.plans import feeds as FD
+from registrar_feeds.session import scratch_dir
+from registrar_feeds.sources import TABLES, read_tables, staged_schema, table_path, write_tables
+from registrar_feeds.sources.registrar import check_staged
+
+
+def _empty(spark, name, drop=None, **types):
+    df = spark.createDataFrame([], staged_schema(name))
+    for column, kind in types.items():
+        df = df.withColumn(column, F.col(column).cast(kind))
+    return df.drop(drop) if drop else df
+
+
+@pytest.mark.parametrize("name", TABLES)
+def test_each_absent_column_of_each_staged_table_raises(spark, name):
+    """By name, without a job over the data: the files hold no row."""
+    base = scratch_dir(spark, "guard")
+    columns = staged_schema(name).names
+    for column in columns:
+        with pytest.raises(ValueError, match=f"staged table {name}: columns absent: {column}$"):
+            write_tables({name: _empty(spark, name, column)}, base)
+        with pytest.raises(ValueError, match=f"staged table {name}: columns absent: {column}$"):
+            check_staged(name, _empty(spark, name, column).schema)
+    for column in {columns[0], columns[-1]}:
+        _empty(spark, name, column).write.parquet(table_path(f"{base}/{column}", "live", name))
+        with pytest.raises(ValueError, match=f"staged table {name}: columns absent: {column}$"):
+            read_tables(spark, f"{base}/{column}", "live", names=(name,))
+
+
+def test_wrong_types_raise(spark, smoke_tables):
+    base = scratch_dir(spark, "guard")
+    bad = smoke_tables["sec_rec"].withColumn("fac_id", F.col("fac_id").cast("string"))
+    with pytest.raises(ValueError, match="sec_rec: fac_id is string, not bigint"):
+        write_tables({"sec_rec": bad}, base)
+    bad.write.partitionBy("yr").parquet(table_path(base, "live", "sec_rec"))
+    with pytest.raises(ValueError, match="sec_rec: fac_id is string, not bigint"):
+        read_tables(spark, base, names=("sec_rec",))
+
+
+def test_enrollment_of_an_older_staging_raises_instead_of_losing_its_rows(spark, smoke_tables):
+    base = scratch_dir(spark, "guard")
+    write_tables(smoke_tables, base)
+    read = read_tables(spark, base)
+    assert FD.feed_enrollment(read, A).where("enroll_status = 'Open'").count() == 2029
+    old = scratch_dir(spark, "guard")
+    write_tables({n: df for n, df in smoke_tables.items() if n != "jenzcrs_rec"}, old)
+    smoke_tables["jenzcrs_rec"].drop("course_key").write.partitionBy("term_code").parquet(table_path(old, "live", "jenzcrs_rec"))
+    with pytest.raises(ValueError, match="jenzcrs_rec: columns absent: course_key"):
+        read_tables(spark, old)
+
+
+def test_empty_tables_and_further_columns_are_read(spark):
+    base = scratch_dir(spark, "guard")
+    write_tables({n: _empty(spark, n) for n in TABLES}, base)
+    read = read_tables(spark, base)
+    assert all(df.count() == 0 for df in read.values())
+    assert FD.feed_enrollment(read, A).count() == 0 and FD.feed_courses(read, A).count() == 0
+    check_staged("role_rec", _empty(spark, "role_rec").withColumn("note", F.lit(1)).schema)
+
+
+def test_no_broadcast_hints_in_the_feeds(stored_tables):
+    for build in (FD.feed_enrollment, FD.feed_courses):
+        assert "strategy=broadcast" not in build(stored_tables, A)._jdf.queryExecution().logical().toString()
+
+
+@pytest.mark.parametrize("layout", ["day", "month"])
+def test_audit_layouts_open_few_files(spark, smoke_tables, layout):
+    """Files opened against files there, and the same transitions either way."""
+    base = scratch_dir(spark, "audit")
+    write_tables({"audit_sec_rec": smoke_tables["audit_sec_rec"]}, base, audit_by=layout)
+    audit = read_tables(spark, base, names=("audit_sec_rec",))["audit_sec_rec"]
+    got, want = FD.status_transitions(audit, A), FD.status_transitions(smoke_tables["audit_sec_rec"], A)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    first = A.days_ago(1)
+    there = len(audit.inputFiles())
+    opened = {f for f in audit.inputFiles() if f.split("=")[1][:len("yyyy-mm-dd" if layout == "day" else "yyyy-mm")] >= f"{first:%Y-%m-%d}"[:10 if layout == "day" else 7]}
+    scan = next(n for n in _scans(got))
+    assert scan.metrics().apply("numFiles").value() == len(opened) < there
+    if layout == "month":
+        months = audit.select("audit_month").distinct().count()
+        assert there <= months + int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert scan.metrics().apply("numPartitions").value() <= months
+
+
+def _scans(df):
+    from tests.test_properties import _walk
+    df.collect()
+    return [n for kind, n in _walk(df._jdf.queryExecution().executedPlan()) if kind == "FileSourceScanExec"]
