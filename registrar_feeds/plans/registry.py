@@ -27,7 +27,7 @@ from registrar_feeds.session import scratch_dir
 from registrar_feeds.sinks import csv_export as CSV
 from registrar_feeds.sinks.digest import digest_lines
 from registrar_feeds.sinks.ordered import with_position
-from registrar_feeds.sources import fixture_tables, read_tables, write_tables
+from registrar_feeds.sources import fixture_tables, read_tables, store_tables, table_name, write_tables
 
 #: A key of each table, for counting what was written and read back.
 STAGED_KEYS = {
@@ -327,8 +327,9 @@ def _staged_tables(spark, t):
 
 @query("staged_transitions")
 def _staged_transitions(spark, t):
-    """Status transitions over the staged audit trail."""
-    return status_transitions(_staged(spark, {n: t[n] for n in ("audit_sec_rec",)})["audit_sec_rec"], A)
+    """Status transitions over the staged audit trail, read by its name in the catalog."""
+    store_tables({"audit_sec_rec": t["audit_sec_rec"]}, scratch_dir(spark, "staged"), "train", audit_by="month")
+    return status_transitions(spark.table(table_name("train", "audit_sec_rec")), A)
 
 
 @query("ordered_users")

@@ -28,6 +28,8 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         # its (runtime) size is under this bound and shuffles otherwise.
         .config("spark.sql.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 * 1024 * 1024))
+        # Buckets of one key serve joins on more keys (``sources.catalog``).
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
         # The feeds of a scheduled run share the executors evenly.
         .config("spark.scheduler.mode", "FAIR")
         .config("spark.sql.session.timeZone", "America/Chicago")

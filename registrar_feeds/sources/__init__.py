@@ -1,5 +1,6 @@
 """Sources: fixed schemas, environment-aware readers, staging, test-data derivation."""
 
+from registrar_feeds.sources.catalog import catalog_tables, register_tables, store_tables, table_name
 from registrar_feeds.sources.fixtures import derive_tables, duckdb_ctes
 from registrar_feeds.sources.registrar import (
     ENVIRONMENTS, check_env, read_tables, stage, stage_table, table_path, write_tables,
@@ -13,7 +14,7 @@ def fixture_tables(spark, sf_dir: str) -> dict:
 
 
 __all__ = [
-    "ENVIRONMENTS", "KEY_COLUMNS", "SCHEMAS", "TABLES", "check_env", "derive_tables",
-    "duckdb_ctes", "fixture_tables", "read_tables", "stage", "stage_table", "table_path",
-    "staged_schema", "write_tables",
+    "ENVIRONMENTS", "KEY_COLUMNS", "SCHEMAS", "TABLES", "catalog_tables", "check_env", "derive_tables",
+    "duckdb_ctes", "fixture_tables", "read_tables", "register_tables", "stage", "stage_table", "store_tables",
+    "table_name", "table_path", "staged_schema", "write_tables",
 ]
