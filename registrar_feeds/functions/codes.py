@@ -128,6 +128,12 @@ def to_number(c) -> Column:
              .otherwise(F.raise_error(F.concat(F.lit("not a numeric id: "), text)).cast("bigint")))
 
 
+def is_number(c) -> Column:
+    """Whether ``to_number`` takes it: null, or text of a whole number."""
+    text = trim(c)
+    return text.isNull() | text.try_cast("bigint").isNotNull()
+
+
 def id_text(c) -> Column:
     """An id as whole-number text, null as ``0`` (CSV export of ids)."""
     return nvl(col(c), 0).cast("bigint").cast("string")

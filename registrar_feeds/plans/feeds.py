@@ -6,7 +6,7 @@ staged registrar tables and an explicit run clock.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from registrar_feeds import fixed_values as V
@@ -115,7 +115,19 @@ def feed_users(t: dict[str, DataFrame], as_of: AsOf, school: str = V.DEFAULT_SCH
                                                                      if c not in ("lastname", "firstname", "role"))])
 
 
-def enrollment_open(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
+def _enrolments_at_hand(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
+    trm = Fl.term_window(t["jenztrm_rec"], as_of)
+    return t["jenzcrp_rec"].where(Fl.in_list("term_code", trm, "term_code")).where(Fl.program_ok_by_term("term_code"))
+
+
+def enrollment_rejects(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
+    """Enrolments of current terms whose person id is no whole number, as they
+    are in the table."""
+    return _enrolments_at_hand(t, as_of).where(~C.is_number("host_id")).select(
+        "course_code", "sec", "term_code", "host_id", "status_code")
+
+
+def enrollment_open(t: dict[str, DataFrame], as_of: AsOf, rejected: Observation | None = None) -> DataFrame:
     """ENROLLMENT, first arm: enrolments in offered sections of current terms.
 
     Enrolments and offerings are cut to the in-window terms first, by a list of
@@ -123,11 +135,18 @@ def enrollment_open(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
     terms' folders are opened; enrolments then by NOT IN.  The
     section master is joined without the year, so a section repeats for each
     year it was taught (kept: it is the feed's multiplicity).
+
+    A person id that is no whole number fails the query; with ``rejected`` such
+    enrolments are left out (``enrollment_rejects`` has them) and counted there
+    as ``n_rejects``, of ``n_rows``, when the feed runs.
     """
     trm = Fl.term_window(t["jenztrm_rec"], as_of).select(F.col("term_code").alias("t_term_code"), "start_date")
     at_hand = Fl.in_list("term_code", trm, "t_term_code")
-    crp = (t["jenzcrp_rec"].where(at_hand).where(Fl.program_ok_by_term("term_code"))
-           .withColumn("uid", C.to_number("host_id")))
+    crp = _enrolments_at_hand(t, as_of)
+    if rejected is not None:
+        ok = C.is_number("host_id")
+        crp = crp.observe(rejected, F.count_if(~ok).alias("n_rejects"), F.count(F.lit(1)).alias("n_rows")).where(ok)
+    crp = crp.withColumn("uid", C.to_number("host_id"))
     crp = P.preff_exclusion(crp, "uid", t["role_rec"], as_of)
     crp = crp.select(F.col("course_code").alias("e_course_code"), F.col("sec").alias("e_sec"),
                      F.col("term_code").alias("e_term_code"), "uid", F.col("status_code").alias("e_status"))
@@ -166,9 +185,10 @@ def enrollment_closed(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
     )
 
 
-def feed_enrollment(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:
-    """ENROLLMENT: open enrolments UNION ALL closed instructor rows."""
-    return union_all_by_position(enrollment_open(t, as_of), enrollment_closed(t, as_of))
+def feed_enrollment(t: dict[str, DataFrame], as_of: AsOf, rejected: Observation | None = None) -> DataFrame:
+    """ENROLLMENT: open enrolments UNION ALL closed instructor rows; ``rejected``
+    as in ``enrollment_open``."""
+    return union_all_by_position(enrollment_open(t, as_of, rejected), enrollment_closed(t, as_of))
 
 
 def feed_crosslist(t: dict[str, DataFrame], as_of: AsOf) -> DataFrame:

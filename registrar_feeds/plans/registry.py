@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from registrar_feeds import fixed_values as V
@@ -236,6 +236,20 @@ def _union_all(spark, t):
     return FD.feed_enrollment(t, A).select("coursecode", "uniqueuserid", "enroll_status")
 
 
+@query("enrollment_rejects")
+def _enrollment_rejects(spark, t):
+    """ENROLLMENT with every person id that ends in 7 spoilt: the feed without
+    those enrolments, and the enrolments."""
+    spoilt = F.when(F.col("host_id").endswith("7"), F.concat(F.lit("ID-"), "host_id")).otherwise(F.col("host_id"))
+    t = {**t, "jenzcrp_rec": t["jenzcrp_rec"].withColumn("host_id", spoilt)}
+    feed = FD.feed_enrollment(t, A, Observation("enrollment_rejects"))
+    bad = FD.enrollment_rejects(t, A)
+    return (feed.select(F.lit("feed").alias("part"), "coursecode", F.col("uniqueuserid").cast("string").alias("person"),
+                        F.col("enrollmenttype").alias("kind"))
+            .unionByName(bad.select(F.lit("reject").alias("part"), F.col("course_code").alias("coursecode"),
+                                    F.col("host_id").alias("person"), F.col("status_code").alias("kind"))))
+
+
 # --- USERS parts ---------------------------------------------------------------------
 
 @query("primary_status")
