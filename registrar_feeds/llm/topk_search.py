@@ -18,11 +18,16 @@ where they stay below 2**53, else in Python integers (a score beyond a long is
 given as the nearest long).
 
 Defined cases: a vector takes no part if it or a component is null, or if
-1024 * x is not finite; a query meets only vectors of its own length; all rows
-with a query's vec_id are its own and no candidates for it; of several rows
-with one query id the smallest vector asks; a null vec_id takes no part; equal
-rows are separate candidates; ties go to the smaller vec_id; an empty table
-gives an empty result.
+1024 * x is not finite; a query meets only vectors of its own length; every row
+for which the condition holds asks, also if others have its vec_id, and meets
+every row but itself; a null vec_id takes no part; equal rows are separate
+queries and candidates; ties go to the smaller vec_id; an empty table gives an
+empty result.
+
+A query's own row is not looked for among the candidates: one more than k are
+kept, and one that has the query's vec_id and its own product goes, if any of them
+does.  (If none does, the own row ranks below them all; if several do, they are
+alike in the result.)
 """
 
 from __future__ import annotations
@@ -45,7 +50,7 @@ _EXACT = float(1 << 53)
 _LONG = (1 << 63) - 1
 
 _PACKED = "dim int, ids binary, data binary"
-_FOUND = "query_id long, vec_id long, score long"
+_FOUND = "ask long, vec_id long, score long, own long"
 
 
 def usable(vector: Column) -> Column:
@@ -84,7 +89,9 @@ def pack(size: int):
 class Best:
     """The best k of each query of one group, over the blocks seen so far."""
 
-    def __init__(self, ids: np.ndarray, data: np.ndarray, k: int, dimensions: int):
+    def __init__(self, ids: np.ndarray, data: np.ndarray, k: int, dimensions: int, exclude: bool = True):
+        """``exclude``: a query's id is no candidate for it."""
+        self.exclude = exclude
         self.ids, self.queries, self.k, self.dimensions = ids, data.T, k, dimensions
         self.scores: list = [np.empty(0)] * len(ids)
         self.found: list = [np.empty(0, np.int64)] * len(ids)
@@ -105,12 +112,21 @@ class Best:
         else:
             exact = np.array([[int(v) for v in row] for row in data], dtype=object)
             for i, row in enumerate(self.queries):
-                other = ids != self.ids[i]
+                other = self._others(i, ids)
                 score = np.array([int(v) for v in row], dtype=object) @ exact
                 self._merge(i, score[other], ids[other])
 
+    def own(self) -> list[int]:
+        """Each query's product with itself, at most a long."""
+        if self.queries.shape[1] * self.most * self.most < _EXACT:
+            return [int(x) for x in (self.queries * self.queries).sum(1)]
+        return [min(_LONG, sum(int(x) ** 2 for x in q)) for q in self.queries]
+
+    def _others(self, i: int, ids: np.ndarray) -> np.ndarray:
+        return ids != self.ids[i] if self.exclude else np.ones(len(ids), bool)
+
     def _branch(self, i: int, ids, partial, x, q, cuts, rest_x, rest_q) -> None:
-        alive = np.flatnonzero(ids != self.ids[i])
+        alive = np.flatnonzero(self._others(i, ids))
         partial = partial[alive]
         for b, cut in enumerate(cuts):
             if b:
@@ -139,11 +155,14 @@ class Best:
 def search(vectors: DataFrame, asks: Column, k: int = K, block: int = BLOCK, group: int = GROUP,
            dimensions: int = DIMENSIONS) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` best rows of ``vectors``
-    (vec_id, embedding) for each row for which ``asks`` holds."""
+    (vec_id, embedding) for each row for which ``asks`` holds; rows of one id
+    that ask have their results side by side."""
     rows = vectors.select(vectors["vec_id"].cast("long").alias("vec_id"), "embedding").where(
         usable(F.col("embedding")) & F.col("vec_id").isNotNull())
-    queries = rows.where(asks).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    asked = kept(queries.mapInArrow(pack(group), _PACKED).toDF("q_dim", "q_ids", "q_data"), "topk-queries")
+    # the queries are numbered and written, once
+    queries = kept(rows.where(asks).withColumn("ask", F.monotonically_increasing_id()), "topk-queries")
+    asked = kept(queries.select(F.col("ask").alias("vec_id"), "embedding").mapInArrow(pack(group), _PACKED)
+                 .toDF("q_dim", "q_ids", "q_data"), "topk-groups")
     pairs = rows.mapInArrow(pack(block), _PACKED).crossJoin(asked)  # rows of blocks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,15 +173,23 @@ def search(vectors: DataFrame, asks: Column, k: int = K, block: int = BLOCK, gro
                     n, m = len(ids) // 8, len(q_ids) // 8
                     key = (dim, q_ids)
                     if key not in best:
-                        best[key] = Best(np.frombuffer(q_ids, np.int64), np.frombuffer(q_data, np.float64).reshape(dim, m), k, dimensions)
+                        best[key] = Best(np.frombuffer(q_ids, np.int64), np.frombuffer(q_data, np.float64).reshape(dim, m), k + 1, dimensions, exclude=False)
                     best[key].add(np.frombuffer(ids, np.int64), np.frombuffer(data, np.float64).reshape(dim, n))
         for b in best.values():
-            out = [(int(q), int(v), max(-_LONG, min(_LONG, int(s)))) for q, ss, vs in zip(b.ids, b.scores, b.found, strict=True) for s, v in zip(ss, vs, strict=True)]
+            out = [(int(q), int(v), max(-_LONG, min(_LONG, int(s))), own) for q, own, ss, vs in zip(b.ids, b.own(), b.scores, b.found, strict=True)
+                   for s, v in zip(ss, vs, strict=True)]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
-
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (pairs.mapInArrow(run, _FOUND).withColumn("rank", F.row_number().over(order))
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["ask", "vec_id", "score", "own"])
+
+    order = Window.partitionBy("ask").orderBy(F.desc("score"), "vec_id")
+    best = pairs.mapInArrow(run, _FOUND).withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k + 1)
+    asks_as = queries.select("ask", F.col("vec_id").alias("query_id"))
+    mine = (F.col("vec_id") == F.col("query_id")) & (F.col("score") == F.col("own"))
+    # of those alike, the first is taken for the row itself
+    found = best.join(asks_as, "ask").withColumn("self", F.min(F.when(mine, F.col("rank"))).over(Window.partitionBy("ask")))
+    after = F.col("self").isNotNull() & (F.col("rank") > F.col("self"))
+    return (found.where(F.col("self").isNull() | (F.col("rank") != F.col("self")))
+            .withColumn("rank", F.when(after, F.col("rank") - 1).otherwise(F.col("rank")).cast("int"))
             .where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))
 
 
@@ -172,16 +199,16 @@ def op6_topk_search(spark, sf_dir):
 
 OP6_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+  SELECT row_number() OVER () AS id, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  SELECT q.id, q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.id <> c.id
   WHERE q.vec_id % 100 = 0),
 r AS (
-  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+  SELECT query_id, row_number() OVER (PARTITION BY id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
   FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """

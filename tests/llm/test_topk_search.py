@@ -11,17 +11,15 @@ SCHEMA = "vec_id long, embedding array<double>"
 
 
 def brute(rows, every=10, k=5):
+    """Each row whose id is divisible by ``every`` asks, against every row but itself."""
     ok = [(v, [math.floor(Fraction(x) * 1024) for x in e]) for v, e in rows
           if v is not None and e is not None and all(x is not None and math.isfinite(x) and math.isfinite(x * 1024) for x in e)]
-    asks = {}
-    for v, e in rows:
-        if v is not None and v % every == 0 and any(v == a for a, _ in ok) and e is not None and None not in e and all(map(math.isfinite, e)):
-            asks[v] = min(asks.get(v, e), e)
     out = []
-    for v, e in asks.items():
-        q = [math.floor(Fraction(x) * 1024) for x in e]
-        found = sorted((-max(-S._LONG, min(S._LONG, sum(a * b for a, b in zip(q, c)))), w) for w, c in ok if w != v and len(c) == len(q))
-        out += [(v, i + 1, w, -s) for i, (s, w) in enumerate(found[:k])]
+    for i, (v, q) in enumerate(ok):
+        if v % every == 0:
+            found = sorted((-max(-S._LONG, min(S._LONG, sum(a * b for a, b in zip(q, c)))), w)
+                           for j, (w, c) in enumerate(ok) if j != i and len(c) == len(q))
+            out += [(v, r + 1, w, -s) for r, (s, w) in enumerate(found[:k])]
     return sorted(out)
 
 
@@ -46,6 +44,25 @@ def test_edge_cases(spark):
     assert run(spark, rows[10:11]) == []
 
 
+def test_repeated_ids_and_extra_columns(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(rng.integers(0, 30)), rng.integers(-2, 3, 6).astype(float).tolist()) for _ in range(120)]
+    rows += [(20, [0.0] * 6)] * 8 + rows[:10]
+    assert len({v for v, _ in rows if v % 10 == 0}) < len([v for v, _ in rows if v % 10 == 0])
+    assert run(spark, rows) == brute(rows)
+    assert run(spark, rows, k=200, block=7, group=2) == brute(rows, k=200)
+    more = [(*r, 1, 2, "x", None, 3) for r in rows]
+    clash = SCHEMA + ", query_id long, rank int, ask string, score double, own long"
+    assert run(spark, more, schema=clash) == brute(rows)
+
+
+def test_two_rows_of_one_id_ask_and_meet_each_other(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (7, [0.5, 0.5])]
+    one, half = 1024 * 1024, 1024 * 512
+    assert run(spark, rows) == sorted([(0, 1, 7, half), (0, 2, 0, 0), (0, 1, 7, half), (0, 2, 0, 0)])
+    assert run(spark, rows[:1] * 2) == [(0, 1, 0, one)] * 2
+
+
 def test_bounds_drop_candidates_early():
     rng = np.random.default_rng(0)
     data = np.floor(rng.normal(size=(64, 500)) * 1024 * np.linspace(2, 0.01, 64)[:, None])
