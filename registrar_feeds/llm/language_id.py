@@ -31,9 +31,11 @@ from pyspark.sql import types as T
 
 from registrar_feeds.llm.common import modest_batches, table
 
-#: Labelled rows to learn from, and landmarks among them.
+#: Labelled rows to learn from, and landmarks among them: so many, and so many of
+#: each language at least.
 FIT_ROWS = 2048
 LANDMARKS = 128
+LANDMARKS_EACH = 4
 RIDGE = 0.1
 GRAM_BITS = 16
 BATCH = 64
@@ -108,7 +110,7 @@ def fit(flags: np.ndarray, langs: list[str], landmarks: int = LANDMARKS, ridge:
     turn = np.empty(len(y), int)
     for k in range(len(names)):
         turn[y == k] = np.arange((y == k).sum())
-    pick = np.sort(np.lexsort((y, turn))[:landmarks])
+    pick = np.sort(np.lexsort((y, turn))[:max(landmarks, LANDMARKS_EACH * len(names))])
     sizes = flags.sum(1).astype(np.float64)
     columns = np.flatnonzero(flags[pick].any(0))
     marks = flags[pick][:, columns].astype(np.float32)

@@ -258,7 +258,8 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     """(u, root): the smallest node connected with each node of ``edges`` (u, v).
 
     Alternating large and small stars: each round links a node's neighbours to
-    the smallest node among them, until nothing changes.  A node of very many
+    the smallest node among them, until nothing changes (an error after ``rounds``:
+    each round shortens the longest path by a constant factor).  A node of very many
     edges is pre-aggregated before the shuffle; the aggregates are written, so
     that the joins with them are plain shuffles whose skew Spark splits (or
     broadcasts while they are small).
@@ -282,6 +283,8 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
         if after == before:
             break
         before = after
+    else:
+        raise RuntimeError(f"components did not settle in {rounds} rounds")
     return now.select("u", F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("u"), F.col("v").alias("root")).distinct())
 
 

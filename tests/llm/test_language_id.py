@@ -61,3 +61,22 @@ def test_kernel_is_the_presence_kernel():
         assert g(t, f)
     assert (flags[0] == flags[1]).all() and (flags[0] & flags[2]).sum() < flags[0].sum() / 2
     assert not g("12 3", np.zeros(1 << G.GRAM_BITS, bool))
+
+
+def test_many_languages_are_told_apart():
+    """200 made languages of 80 grams each among 2,000 that all share."""
+    rng = np.random.default_rng(7)
+    own = [rng.choice(2000, 80, replace=False) for _ in range(200)]
+
+    def texts(each):
+        flags = np.zeros((200 * each, 2000), bool)
+        for i in range(200 * each):
+            flags[i, rng.choice(own[i // each], 50, replace=False)] = True
+            flags[i, rng.integers(0, 2000, 15)] = True
+        return flags, [f"l{i // each:03d}" for i in range(200 * each)]
+
+    model = G.fit(*texts(10))
+    flags, langs = texts(5)
+    assert len(model.marks) == 800
+    found = [model.langs[i] for i in model.scores(flags).argmax(1)]
+    assert np.mean([a == b for a, b in zip(found, langs, strict=True)]) >= 0.95

@@ -137,3 +137,9 @@ def test_bound_never_drops_a_link():
     for i in range(40):
         got[find(i)].add(i)
     assert {frozenset(g) for g in got.values()} == {frozenset(g) for g in want}
+
+
+def test_components_that_do_not_settle_are_an_error(spark):
+    path = spark.range(200).selectExpr("id as u", "id + 1 as v")
+    with pytest.raises(RuntimeError, match="did not settle"):
+        N.components(path, rounds=1)
