@@ -58,6 +58,29 @@ def test_patterns_discover_unseen_identifiers(spark):
     assert all(got[i]["n_found"] == 0 and got[i]["spans"] == base(rows[i][1])[0] for i in range(60))
 
 
+def test_secrets_and_account_numbers(spark):
+    rows = [(i, f'set token = "{i:02d}ab{i * 7919 + 10**8:x}ffeeddcc{i}" in it.') for i in range(12)]
+    rows += [(50, "pay to DE89370400440532013000."), (51, "pay to DE89370400440532013001 now"), (52, "GB82WEST12345698765432")]
+    rows += [(60, "api_key: sk-live-0011223344556677"), (61, "the token 12 of 2024-01-15 and key 5"), (62, "secret=abcdefghijklmnopqrstuv")]
+    rows += [(63, "password is hunter2hunter2hunter222"), (64, "commit 0123456789abcdef0123456789abcdef01234567 of it")]
+    got = {r["doc_id"]: r for r in check(documents(spark, rows), rows)}
+    for i in range(12):
+        start = rows[i][1].index('"') + 1
+        assert got[i]["spans"] == f"secret:{start}:{rows[i][1].rindex(chr(34))}" and got[i]["n_secret"] == got[i]["n_found"] == 1
+    assert got[50]["spans"] == "iban:7:29" and got[50]["n_iban"] == 1 and got[52]["spans"] == "iban:0:22"
+    assert got[60]["spans"] == "secret:9:33" and got[63]["n_secret"] == 1
+    assert all(got[i]["n_found"] == 0 for i in (51, 61, 62, 64))
+
+
+def test_marks_discover_secrets_after_new_words(spark):
+    known = [f"{i:02d}aa{i * 104729 + 10**9:x}bb{i}cc" for i in range(40)]
+    rows = [(i, f"x api_key={v} y") for i, v in enumerate(known)]
+    rows += [(100 + i, f"x nonce={v} y") for i, v in enumerate(known)] + [(200, "x nonce=ffee0011223344556677 y"), (201, "x nonsense=ffee9911223344556677 y")]
+    got = {r["doc_id"]: r for r in check(documents(spark, rows), rows)}
+    assert got[200]["spans"] == "secret:8:28" and got[100]["n_secret"] == 1
+    assert got[201]["n_found"] == 0
+
+
 def test_no_python_on_the_path(spark):
     plan = P.find_pii(documents(spark, [(1, "a@b.cc")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
