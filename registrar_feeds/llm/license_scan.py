@@ -6,17 +6,22 @@ match length are the longest run of words, ending there, that stands in some
 template (the matching statistics).  Phrase places are read off the states.
 Runs of at least ``min_match`` words that cannot be extended are chained for
 each template, in order in both texts, and a chain that covers enough of its
-template gives a span with the template's label.
+template gives a span with the template's label.  Labels of versions are given
+where the words that tell the version stand: in one match of the chain, or in the
+full name of the license, which is read off the states as the phrases are.
 
 Words that open no pair of template words are skipped in bulk: no match of two
-words or more spans them.
+words or more spans them; phrases and names of one word are looked up beside.
 
 Defined cases: a null or empty text has no words and no labels; equal rows are
-scanned alike; an empty table gives an empty result.
+scanned alike; of chains that cover as much, the first one counts; a very long
+text is read whole, in time in proportion to its words and matches; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
+import bisect
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from registrar_feeds.llm.common import LOWER, UPPER, modest_batches, table, text_or_empty
-from registrar_feeds.llm.license_texts import PHRASES, TEMPLATES
+from registrar_feeds.llm.license_texts import NAMES, PHRASES, TEMPLATES, VERSIONS
 
 #: Words of a match that counts for a chain, words of the document between two
 #: matches of a chain, and the part of a template that a chain must cover.
@@ -105,11 +110,16 @@ class Automaton:
 
 class Scanner:
     def __init__(self, templates=TEMPLATES, phrases=PHRASES, min_match: int = MIN_MATCH, max_gap: int = MAX_GAP,
-                 covered: float = COVERED):
+                 covered: float = COVERED, names=NAMES, versions=VERSIONS):
         self.min_match, self.max_gap, self.covered = min_match, max_gap, covered
         named = [(label, words_of(text)) for label, text in templates.items()]
         named = [(label, w) for label, w in named if w]
-        base = [(label, words_of(text)) for text, label in phrases.items()]
+        base = [(label, words_of(text)) for text, label in [*phrases.items(), *names.items()]]
+        of_base = [True] * len(phrases) + [False] * len(names)
+        # of each template: first word and end of the words that tell a version
+        self.versions = [[(a, a + len(v), version) for words, version in versions.get(label, {}).items()
+                          for v in [words_of(words)] for a in range(len(w) - len(v) + 1) if w[a:a + len(v)] == v]
+                         for label, w in named]
         self.labels = [label for label, _ in named]
         self.sizes = [len(w) for _, w in named]
         self.ids: dict[bytes, int] = {}
@@ -120,18 +130,19 @@ class Scanner:
         for s in seqs:
             for a, b in zip(s, s[1:], strict=False):
                 self.pairs[a, b] = True
-        # at a state: phrases that its words end with
-        self.phrase_at: list[list[tuple[int, str]]] = [[] for _ in self.auto.next]
+        self.single = {seqs[len(named) + k][0]: (label, of_base[k]) for k, (label, w) in enumerate(base) if len(w) == 1}
+        # at a state: phrases and names of two words or more that its words end with
+        self.phrase_at: list[list[tuple[int, str, bool]]] = [[] for _ in self.auto.next]
         for s in range(len(self.auto.next)):
             for k, end in self.auto.ends[s]:
-                if k >= len(named) and end == len(base[k - len(named)][1]) == self.auto.length[s]:
-                    self.phrase_at[s].append((end, base[k - len(named)][0]))
+                if k >= len(named) and end > 1 and end == len(base[k - len(named)][1]) == self.auto.length[s]:
+                    self.phrase_at[s].append((end, base[k - len(named)][0], of_base[k - len(named)]))
         for s in sorted(range(1, len(self.auto.next)), key=lambda s: self.auto.length[s]):
             self.phrase_at[s] = list(dict.fromkeys([*self.phrase_at[s], *self.phrase_at[self.auto.link[s]]]))
 
     def scan(self, text: str) -> tuple:
         words = words_of(text)
-        places: list[tuple[int, str]] = []
+        places: list[tuple[int, int, str, bool]] = []  # first word, end, label, base?
         matches: list[tuple[int, int, int]] = []  # state, first word, words
         if len(words) > 1:
             get, none = self.ids.get, self.none
@@ -140,12 +151,15 @@ class Scanner:
             edge = np.flatnonzero(np.diff(np.concatenate(([False], linked, [False])).astype(np.int8)))
             for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True):
                 self._stream(ids[a:b + 1].tolist(), a, places, matches)
-        spans = self._chains(matches)
-        base = sorted({label for _, label in places})
+        if self.single:
+            at = ((i, self.single.get(self.ids.get(w))) for i, w in enumerate(words))
+            places += [(i, i + 1, *found) for i, found in at if found]
+        spans = self._chains(matches) + [(label, a, b, 1.0) for a, b, label, of_base in places if not of_base]
+        first = [a for a, _, _, of_base in places if of_base]
+        base = sorted({label for _, _, label, of_base in places if of_base})
         labels = sorted({*base, *(s[0] for s in spans)})
-        score = max([1.0] if base else [0.0], default=0.0)
-        score = max([score, *(s[3] for s in spans)])
-        return (len(words), len(places), min((p for p, _ in places), default=None), max((p for p, _ in places), default=None),
+        score = max([1.0 if base else 0.0, *(s[3] for s in spans)])
+        return (len(words), len(first), min(first, default=None), max(first, default=None),
                 ",".join(base), ",".join(labels), score, ",".join(f"{k}:{a}:{b}" for k, a, b, _ in sorted(spans, key=lambda s: (s[1], s[2], s[0]))))
 
     def _stream(self, ids: list[int], first: int, places: list, matches: list) -> None:
@@ -155,9 +169,9 @@ class Scanner:
             state, length = step(state, length, w)
             if length <= had and had >= self.min_match:
                 matches.append((before, first + i - had, had))
-            for size, label in phrases[state]:
+            for size, label, of_base in phrases[state]:
                 if size <= length:
-                    places.append((first + i + 1 - size, label))
+                    places.append((first + i + 1 - size, first + i + 1, label, of_base))
         if length >= self.min_match:
             matches.append((state, first + len(ids) - length, length))
 
@@ -184,28 +198,47 @@ class Scanner:
         return out
 
     def _best(self, k: int, found: list[tuple[int, int, int]], need: float) -> list[tuple[str, int, int, float]]:
-        """The chains of most covered words, one after the other."""
-        out = []
+        """Chains that cover enough, those of most words first, none within another.
+
+        One pass works out the best chain that ends at each match and takes all
+        that stand apart; what they leave is gone through again, until a pass
+        takes none."""
+        out: list[tuple[str, int, int, float]] = []
         while found:
             best = [m[2] for m in found]
             back = [-1] * len(found)
             for j, (a, t, n) in enumerate(found):
                 for i in range(j - 1, -1, -1):
                     a0, t0, n0 = found[i]
-                    if a - (a0 + n0) > self.max_gap + self.sizes[k]:
+                    if a - a0 > self.max_gap + self.sizes[k]:
                         break
                     over = max(0, a0 + n0 - a, t0 + n0 - t)
                     if a0 < a and t0 < t and over < n and a - (a0 + n0) <= self.max_gap and best[i] + n - over > best[j]:
                         best[j], back[j] = best[i] + n - over, i
-            j = max(range(len(found)), key=best.__getitem__)
-            if best[j] < need:
+            taken: list[tuple[int, int]] = []
+            for j in sorted((j for j in range(len(found)) if best[j] >= need), key=lambda j: (-best[j], j)):
+                end, chain = found[j][0] + found[j][2], [j]
+                place = bisect.bisect_left(taken, (end,))
+                if place and taken[place - 1][1] > found[j][0]:
+                    continue
+                while back[chain[-1]] >= 0:
+                    chain.append(back[chain[-1]])
+                start = found[chain[-1]][0]
+                if place < len(taken) and taken[place][0] < end or place and taken[place - 1][1] > start:
+                    continue
+                taken.insert(place, (start, end))
+                part = min(1.0, best[j] / self.sizes[k])
+                out.append((self.labels[k], start, end, part))
+                out += [(version, start, end, part) for a, b, version in self.versions[k]
+                        if any(found[i][1] <= a and b <= found[i][1] + found[i][2] for i in chain)]
+            if not taken:
                 break
-            end, total = found[j][0] + found[j][2], best[j]
-            while back[j] >= 0:
-                j = back[j]
-            start = found[j][0]
-            out.append((self.labels[k], start, end, min(1.0, total / self.sizes[k])))
-            found = [m for m in found if m[0] + m[2] <= start or m[0] >= end]
+            left = []
+            for m in found:
+                place = bisect.bisect_left(taken, (m[0] + m[2],))
+                if not place or taken[place - 1][1] <= m[0]:
+                    left.append(m)
+            found = left
         return out
 
 

@@ -8,6 +8,41 @@ PHRASES = {
     "mit license": "mit",
 }
 
+# Names of licenses with their versions, and the labels of these versions.
+NAMES = {
+    "gnu general public license version 2": "gpl-2",
+    "gnu general public license version 3": "gpl-3",
+    "gnu general public license v2": "gpl-2",
+    "gnu general public license v3": "gpl-3",
+    "gnu lesser general public license version 2 1": "lgpl-2.1",
+    "gnu lesser general public license version 3": "lgpl-3",
+    "gnu affero general public license version 3": "agpl-3",
+    "apache license version 1 1": "apache-1.1",
+    "apache license version 2 0": "apache-2.0",
+    "apache license v2 0": "apache-2.0",
+    "mozilla public license version 2 0": "mpl-2.0",
+    "mozilla public license v 2 0": "mpl-2.0",
+    "eclipse public license version 2 0": "epl-2.0",
+    "boost software license version 1 0": "bsl-1.0",
+    "creative commons attribution 4 0 international": "cc-by-4.0",
+    "creative commons attribution sharealike 4 0 international": "cc-by-sa-4.0",
+    "creative commons attribution noncommercial 4 0 international": "cc-by-nc-4.0",
+    "cc by 4 0": "cc-by-4.0",
+    "cc by sa 4 0": "cc-by-sa-4.0",
+    "cc by nc 4 0": "cc-by-nc-4.0",
+}
+
+# The words of a notice that tell its version, and the label of it.
+# A chain has that label only where one match holds all of these words.
+VERSIONS = {
+    "apache": {"version 2 0": "apache-2.0"},
+    "gpl": {"either version 3 of the license": "gpl-3"},
+    "lgpl": {"either version 2 1 of the license": "lgpl-2.1"},
+    "bsd": {"neither the name of the copyright holder": "bsd-3"},
+    "mpl": {"v 2 0": "mpl-2.0"},
+    "cc-by": {"attribution 4 0 international": "cc-by-4.0"},
+}
+
 # The usual wording of license notices.
 TEMPLATES = {
     "mit": """
@@ -66,12 +101,6 @@ the MPL was not distributed with this file, You can obtain one at https://mozill
 This work is licensed under a Creative Commons Attribution 4.0 International License. To view a
 copy of this license, visit http://creativecommons.org/licenses/by/4.0/ or send a letter to
 Creative Commons, PO Box 1866, Mountain View, CA 94042, USA.""",
-    "cc-by-nc": """
-Licensed under CC BY-NC 4.0.""",
-    "gpl-3": """
-This work is licensed under the GNU General Public License, version 3.""",
-    "apache-2.0": """
-Licensed under the Apache License, Version 2.0.""",
     "unlicense": """
 This is free and unencumbered software released into the public domain. Anyone is free to copy,
 modify, publish, use, compile, sell, or distribute this software, either in source code form or as

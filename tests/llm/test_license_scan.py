@@ -59,6 +59,56 @@ def test_templates_and_their_variants():
     assert scanner.scan("free of charge to any person " * 50)[5] == ""
 
 
+def test_versions_are_told_apart():
+    labels = lambda text: set(L.Scanner().scan(text)[5].split(","))
+    assert labels("under the GNU General Public License, version 2") == {"gpl", "gpl-2"}
+    assert labels("This work is licensed under the GNU General Public License, version 3.") == {"gpl", "gpl-3"}
+    assert labels("Apache License, Version 1.1") == {"apache", "apache-1.1"}
+    assert labels("Licensed under the Apache License") == {"apache"}
+    assert labels("Licensed under CC BY-NC 4.0.") == {"cc-by", "cc-by-nc-4.0"}
+    assert labels("Licensed under CC BY-NC 3.0.") == {"cc-by"}
+    assert labels(TEMPLATES["apache"]) == {"apache", "apache-2.0"}
+    assert labels(TEMPLATES["apache"].replace("2.0", "9.0")) == {"apache"}
+    assert labels(TEMPLATES["gpl"]) == {"gpl", "gpl-3"}
+    assert "gpl-3" not in labels(TEMPLATES["gpl"].replace("either version 3", "either version 2"))
+    assert {"bsd", "bsd-3"} == labels(TEMPLATES["bsd"])
+
+
+def test_phrases_of_one_word():
+    found = L.Scanner(phrases={"copyleft": "left", "mit license": "mit"}).scan("copyleft, x MIT License copyleft")
+    assert found[:5] == (5, 3, 0, 4, "left,mit")
+
+
+def chain_brute(found, gap):
+    """Words of the best chain, over all of them."""
+    def grow(i, total):
+        a0, t0, n0 = found[i]
+        return max([total, *(grow(j, total + found[j][2] - over) for j, (a, t, n) in enumerate(found)
+                             for over in [max(0, a0 + n0 - a, t0 + n0 - t)]
+                             if a0 < a and t0 < t and over < n and a - (a0 + n0) <= gap)])
+    return max((grow(i, m[2]) for i, m in enumerate(found)), default=0)
+
+
+def test_chains_equal_brute_force():
+    rng = random.Random(5)
+    scanner = L.Scanner(max_gap=4)
+    k = max(range(len(scanner.labels)), key=scanner.sizes.__getitem__)
+    for _ in range(300):
+        found = sorted({(rng.randrange(30), rng.randrange(20), rng.randint(1, 6)) for _ in range(rng.randint(0, 8))})
+        got = [c for c in scanner._best(k, found, 1) if c[0] == scanner.labels[k]]
+        want = chain_brute(found, 4)
+        assert round(max((c[3] for c in got), default=0) * scanner.sizes[k]) == want
+        spans = sorted((a, b) for _, a, b, _ in got)
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
+def test_many_notices_in_linear_time():
+    text = (TEMPLATES["mit"] + " filler") * 1
+    scanner = L.Scanner()
+    found = scanner.scan(text * 1500)
+    assert found[7].count("mit:") == 1500
+
+
 def test_rows(spark):
     rows = edge_rows(3000) + [(30, "Released under the MIT License."), (31, TEMPLATES["bsd"])]
     got = {(r["doc_id"], r["n_words"], r["n_base"], r["labels"]) for r in L.scan(documents(spark, rows, CLASH)).collect()}
