@@ -12,18 +12,26 @@ kept if it stands in the heaviest one's element (below ``body``), however light;
 a paragraph or item of links is kept among weighing ones of the same parent,
 and before or after them if it has words beside the links.
 
-What names an element as none of the text is a word of its class, id or role;
-inside an article, and for the article itself, only a whole class or role of
-strong meaning, or an id of that one word.  The ids of headings and sections
-name their subject, and so do ids of more words inside an article.
+What names an element as none of the text is its class, id or role.  A whole name
+of strong meaning (``comments``) leaves it out.  A compound whose first or last word
+has such a meaning (``site-footer``), or a whole name of weaker meaning, makes it a
+suspect, and so is a form; compounds that deny or merely mention (``no-sidebar``,
+``has-banner``) do not count.  A suspect goes if it weighs no more than the rest of
+the page, or ten times that for what readers and advertisers add, so that the
+element around the heaviest text stays whatever its name.  Inside an article a
+compound counts by its first word, and only in classes of block elements.  The ids
+of headings and sections name their subject, and so do ids of more words inside an
+article.  In an article, lists and other blocks of links alone before its first and
+after its last weighing line go.
 
 Elements end as in HTML: a paragraph before the next block, an item, cell, row
 or option before its next sibling, everything with its parent; a link that is
 never closed ends at the next block or link.
 
 Defined cases: a null or empty page, or one of markup alone, has an empty text;
-other unclosed and cut-off tags end with the page; equal rows are equal results; an
-empty table gives an empty result.
+other unclosed and cut-off tags end with the page; of stretches and suspects that
+weigh the same the first one counts as the heaviest; very long pages are read whole, in
+one row; equal rows are equal results; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -67,6 +75,8 @@ _HOLDS = BLOCKS | OUT | RAW | {"datalist"}
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Blocks that are text among their siblings, also where links fill them.
 _PARTS = _HEADINGS | frozenset("p li dd dt td th blockquote pre figcaption caption summary".split())
+#: Those of them that a list or table of links does not have.
+_OWN = _PARTS - frozenset("li dd dt td th".split())
 _SCOPE = frozenset("article main table caption td th button object template select".split())
 #: What the start of an element ends, and what it does not reach beyond.
 _ENDS = {
@@ -92,6 +102,20 @@ cookie cookies consent gdpr popup modal overlay nav navbar navigation breadcrumb
 comments commentlist disqus newsletter subscribe signup login pagination pager complementary contentinfo
 alertdialog""".split())
 
+#: First words of a compound class that make a suspect inside an article.
+OUT_HEADS = frozenset("""ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo
+promotion cookie cookies consent gdpr notice popup modal overlay navbar breadcrumb breadcrumbs sidebar comment
+comments commentlist disqus replies share sharing related recommended newsletter subscribe signup pagination
+pager""".split())
+#: Words that deny or mention what the rest of a compound names.
+MENTIONS = frozenset("no non not without with has have hide enabled disabled".split())
+#: What readers, advertisers and the site's owner add: suspects at any weight up to 1 / SURGE of the rest.
+ADDED = frozenset("""ad ads adv advert adverts advertisement advertising adsense sponsored cookie cookies consent gdpr
+comment comments commentlist disqus replies respond newsletter nav navbar navigation breadcrumb breadcrumbs pagination
+pager""".split())
+#: Kinds of left-out elements.
+SURE, ADDITION, SUSPECT = 3, 2, 1
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
@@ -134,7 +158,9 @@ class _Page:
         self.close = self._ends()
         # text holders: an article or main that is not itself left out
         self.mains = [i for i, (closing, name, attrs) in enumerate(self.tokens)
-                      if name in ("article", "main") and not closing and not self._named_out(name, attrs, True)]
+                      if name in ("article", "main") and not closing and self._named_out(name, attrs, True) != SURE]
+        self.kinds: dict[int, int] = {}
+        self.going = self._suspects()
 
     def _ends(self) -> dict[int, int]:
         """For each element's first token the last one: its closing tag, or what
@@ -217,34 +243,99 @@ class _Page:
         return close
 
     @staticmethod
-    def _named_out(name: str, attrs: str, inside: bool) -> bool:
+    def _named_out(name: str, attrs: str, inside: bool) -> int:
         found = _ATTR.findall(attrs)
         classes = {x for key, value in found if key.lower() == "class" for x in value.strip("\"'").lower().split()}
+        kind = 0
         for key, value in found:
             key, value = key.lower(), value.strip("\"'").lower()
             if key == "hidden" or key == "aria-hidden" and value == "true":
-                return True
+                return SURE
             if key == "style":
                 if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-                    return True
+                    return SURE
             elif key == "id" and (name in _HEADINGS or name == "section" or "section" in classes):
                 continue
             elif key in ("class", "id", "role"):
-                if not inside:
-                    if not OUT_WORDS.isdisjoint(_WORD.findall(value)):
-                        return True
-                elif not OUT_NAMES.isdisjoint(value.split()):
-                    return True
-                elif key == "class" and name in BLOCKS and "comment" in value.split():
-                    return True  # of a reader; within a line it is one of program code
-        return False
-
-    def left_out(self, i: int, inside: bool) -> bool:
+                if not OUT_NAMES.isdisjoint(value.split()):
+                    return SURE
+                if inside and key == "class" and name in BLOCKS and "comment" in value.split():
+                    return SURE  # of a reader; within a line it is one of program code
+                for token in value.split():
+                    words = _WORD.findall(token)
+                    if not words or not MENTIONS.isdisjoint(words):
+                        continue
+                    if inside:
+                        named = words[:1] if key == "class" and name in BLOCKS and words[0] in OUT_HEADS else []
+                    else:
+                        named = [w for w in (words[0], words[-1]) if w in OUT_WORDS]
+                    if named:
+                        kind = max(kind, SUSPECT if ADDED.isdisjoint(named) else ADDITION)
+        return kind
+
+    def _kind(self, i: int, inside: bool) -> int:
         """Is the element that opens at token ``i`` one that holds no main text?"""
         _, name, attrs = self.tokens[i]
         if name in ("html", "body"):
-            return False
-        return bool(name in OUT or name in RAW or name == "header" and not inside or attrs and self._named_out(name, attrs, inside or name in ("article", "main")))
+            return 0
+        if name in RAW or name in OUT and name != "form" or name == "header" and not inside:
+            return SURE
+        kind = self._named_out(name, attrs, inside or name in ("article", "main")) if attrs else 0
+        if name in ("article", "main"):
+            return kind if kind == SURE else 0
+        return max(kind, SUSPECT) if name == "form" else kind
+
+    def _suspects(self) -> set[int]:
+        """The suspects that go, by their weights without those of suspects and articles in them."""
+        n, mains = len(self.tokens), set(self.mains)
+        own: dict[int, int] = {}
+        around: dict[int, int] = {}  # the suspect around a suspect
+        rest, link_end, inside = 0, -1, 0
+        stack: list[tuple[int, int, bool]] = []  # end, whose weight it is (-1: the rest, -2: none), an article?
+        for i, (closing, name, _) in enumerate(self.tokens):
+            while stack and i > stack[-1][0]:
+                inside -= stack.pop()[2]
+            if name is None:
+                if i > link_end:
+                    to = stack[-1][1] if stack else -1
+                    if to == -1:
+                        rest += len(closing.strip())
+                    elif to >= 0:
+                        own[to] += len(closing.strip())
+            elif not closing and name not in VOID:
+                end = self.close.get(i, n)
+                if name == "a":
+                    link_end = max(link_end, end)
+                kind = self.kinds[i] = self._kind(i, inside > 0)
+                if i in mains:
+                    stack.append((end, -1, True))
+                    inside += 1
+                elif kind == SURE:
+                    stack.append((end, -2, False))
+                elif kind and not (stack and stack[-1][1] == -2):
+                    own[i], around[i] = 0, stack[-1][1] if stack else -1
+                    stack.append((end, i, False))
+        going: set[int] = set()
+        stays: set[int] = set()
+
+        def chain(i: int) -> Iterator[int]:
+            while (i := around.get(i, -1)) >= 0:
+                yield i
+
+        for i in sorted(own, key=lambda i: (-own[i], i)):
+            if i in stays:
+                continue
+            most = rest if self.kinds[i] == SUSPECT else rest / SURGE
+            if own[i] <= most or not going.isdisjoint(chain(i)):
+                going.add(i)
+            else:
+                rest += own[i]
+                stays.update([i, *chain(i)])
+        return going
+
+    def left_out(self, i: int, inside: bool) -> bool:
+        """Does the element that opens at token ``i`` go?"""
+        return self.kinds.get(i, 0) == SURE or i in self.going
 
     def lines(self) -> list[_Line]:
         """One for each block; an empty one for each left-out block."""
@@ -353,7 +444,13 @@ def main_text(source: str | None, window: int = WINDOW, surge: float = SURGE, li
             regions[x.region] = regions.get(x.region, 0) + x.weight
     outside = [0 if x.region is not None else w for x, w in zip(lines, weights, strict=True)]
     if regions and max(regions.values()) >= max((sum(outside[a:b]) for a, b in stretches(outside, window, 0.0)), default=0):
-        weights = [len(x.text) if x.region is not None else 0 for x in lines]
+        ends: dict[int, list[int]] = {}  # first and last weighing line of an article
+        for i, x in enumerate(lines):
+            if x.region is not None and weights[i]:
+                ends.setdefault(x.region, [i, i])[1] = i
+        weights = [len(x.text) if x.region is not None and (
+            x.region not in ends or ends[x.region][0] <= i <= ends[x.region][1] or x.plain or x.block in _OWN) else 0
+            for i, x in enumerate(lines)]
         found = stretches(weights, window, 0.0)
         beside = []
     else:

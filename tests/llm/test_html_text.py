@@ -139,3 +139,35 @@ def test_names_elsewhere():
     assert H.main_text('<p>a</p><div id="cookie-banner">x</div><div class="related-posts">y</div>') == "a"
     assert H.main_text('<article id="search-methods" class="post share-enabled"><p>a</p></article><p>x') == "a"
     assert H.main_text('<article class="post comment"><p>x</p></article><main>a</main>') == "a"
+
+
+WRAPS = ["<div class='site-content no-sidebar'>{}</div>", "<div class='main with-sidebar'>{}</div>", "<div class='page has-banner'>{}</div>",
+         "<div class='social-science'>{}</div>", "<form id='aspnetForm'>{}</form>", "<div id=page><form><div>{}</div></form></div>",
+         "<article>{}</article>", "<main>{}</main>", "<div id=content>{}</div>", "<div class='search-page'><article>{}</article></div>"]
+NOISE = ["<div class='ad-slot'>Buy this today</div>", "<div class='cookie-notice'>We use cookies</div>", "<div class=notice>Please note</div>",
+         "<div class=related>More to read</div>", "<div class='comments-area'><p>I agree with it</p></div>",
+         "<ol class='comment-list'><li>First of all</ol>", "<div class=share>Tell others</div>", "<div class='sidebar-widget'>Latest</div>"]
+
+
+def naive(page):
+    """The paragraphs of the made pages: all that these pages mean as text stands in <p class=t>."""
+    import re
+    return "\n\n".join(re.findall("<p class=t>(.*?)</p>", page))
+
+
+@pytest.mark.parametrize("wrap", WRAPS)
+@pytest.mark.parametrize("noise", NOISE)
+def test_weights_decide_over_names(wrap, noise):
+    text = "<h1>Head</h1>" + "".join(f"<p class=t>Paragraph {i} of the text, with words that weigh.</p>" + noise * (i == 2) for i in range(5))
+    page = "<header>Site</header><nav><a>Home</a></nav>" + wrap.format(text + noise) + "<footer>c 2020</footer>"
+    assert H.main_text(page) == "Head\n\n" + naive(page)
+
+
+def test_heavy_comments_go_and_links_at_the_ends_of_an_article():
+    words = "words that weigh " * 20
+    page = f"<div><p>{words}</p></div><div class='post-comments'><p>{words * 3}</p></div>"
+    assert H.main_text(page) == words.strip()
+    links = "<ul><li><a>one</a><li><a>two</a></ul>"
+    assert H.main_text(f"<article>{links}<h1><a>T</a></h1><p>{words}</p>{links}<p>{words}</p>{links}</article>").split() == (
+        "T " + words + "one two " + words).split()
+    assert H.main_text(f"<article>{links}</article>").split() == ["one", "two"]
