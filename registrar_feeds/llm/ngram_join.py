@@ -15,13 +15,20 @@ pairs of a group is ever made:
    documents send their distinct hashes to buckets of the hash range, each hash
    once for a chunk, and get back those that others have too.
 3. A document whose first shingles are all its own links to nothing and is
-   done.  The others meet in stars around the smallest document of each shared
-   first shingle; connected stars are candidate sets that no link leaves.
+   done.  What stands before the first shingle that two documents share is not
+   shared, so its place bounds the sizes of partners (position filter).  The
+   documents of a shingle, by size, fall into runs that no such bound reaches
+   across; runs in which nobody can have a partner go, the others are stars
+   around their smallest document, and connected stars are candidate sets that
+   no link leaves.  Texts of one template that differ in more than a link
+   allows so make no set, however many they are.
 4. A candidate set is joined exactly: its documents are sorted by set size, a
    document meets those within the size band that still belong to another
-   component, hashed bitmaps bound the overlap from above, and sorted arrays
-   are intersected where the bound allows a link.  Sets too large for a task are
-   cut to size-banded tiles: tiles are joined inside, then with a few
+   component, or if they are fewer those that share a first shingle in places
+   that allow a link, hashed bitmaps bound the overlap from above, and sorted
+   arrays arrays are intersected where the bound allows a link.  Sets too large for a
+   task are formed anew with all their shingles counted; those still too large
+   are cut to size-banded tiles: tiles are joined inside, then with a few
    representatives of the largest components, then every document outside the
    largest component with every tile in its bands.
 
@@ -53,6 +60,8 @@ UNIVERSE = 0.28
 CHUNK_KEYS = 1_000_000
 TILE_SHINGLES = 4_000_000
 PIVOTS = 4
+#: Documents of a tile that simply meet all others of their size band.
+FEW = 32
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
@@ -95,6 +104,12 @@ def prefix_length(n, percent: int = PERCENT):
     return n - -(-percent * n // 100) + 1
 
 
+def largest_partner(n, at, percent: int = PERCENT):
+    """Largest set that one of ``n`` can link to if the first they share, in an
+    order of all, is its number ``at`` (from 0): n - at of the union at most are shared."""
+    return (100 + percent) * (n - at) // percent - n
+
+
 def _pack(keys: np.ndarray) -> bytes:
     return keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
 
@@ -119,7 +134,8 @@ def document_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     """A row per document: uid, doc_id, th (hash of the text), n (shingles), d1
     and d2 (digest of the set), chunk, rep (the first uid of an equal set in the
     chunk), keys (of a rep: the top 48 bits of its lowest hashes)."""
-    limit = np.uint64(int(universe * 2.0 ** 64))
+    whole = universe >= 1
+    limit = np.uint64(0 if whole else int(universe * 2.0 ** 64))
     schema = [(x.split()[0], pa.binary() if x.endswith("binary") else pa.int64()) for x in _SETS.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -135,7 +151,7 @@ def document_sets(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
                     d = xxhash.xxh3_128_intdigest(h.tobytes())
                     rep = seen.setdefault((n, d), uid)
                     if rep == uid:
-                        low = max(int(np.searchsorted(h, limit)), prefix_length(n, percent))
+                        low = n if whole else max(int(np.searchsorted(h, limit)), prefix_length(n, percent))
                         keys = _pack(h[:low] >> np.uint64(64 - _KEY_BITS))
                         held += low
                 rows.append((uid, doc, th, n, _signed(d >> 64), _signed(d & ((1 << 64) - 1)), chunk, rep, keys))
@@ -215,13 +231,14 @@ def _shared_keys(sets: DataFrame, bits: int) -> DataFrame:
 
 
 def first_keys(sets: DataFrame, percent: int = PERCENT, universe: float = UNIVERSE) -> DataFrame:
-    """(key, uid): the shared keys among the first of each document."""
+    """(key, uid, n, most): the shared keys among the first of each document, its
+    size and the largest partner that it can meet at this key."""
     spark = sets.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = max(1, int(np.ceil(np.log2(4 * parts / universe))))
     cut = max(0, _KEY_BITS - bits - 32)
     limit = np.uint64(int(universe * 2.0 ** _KEY_BITS))
-    out = [("key", pa.int64()), ("uid", pa.int64())]
+    out = [("key", pa.int64()), ("uid", pa.int64()), ("n", pa.int64()), ("most", pa.int64())]
 
     def pick(left: pa.Table, right: pa.Table) -> pa.Table:
         none = pa.Table.from_batches([], pa.schema(out))
@@ -231,7 +248,7 @@ def first_keys(sets: DataFrame, percent: int = PERCENT, universe: float = UNIVER
         dfs = np.concatenate([np.frombuffer(x, "<u4") for x in right["dfs"].to_pylist()])
         order = np.argsort(shared, kind="stable")
         shared, dfs = shared[order], dfs[order]
-        keys, uids = [], []
+        found = []
         for uid, n, packed in zip(left["uid"].to_pylist(), left["n"].to_pylist(), left["keys"].to_pylist(), strict=True):
             own, need = _unpack(packed), prefix_length(n, percent)
             at = np.minimum(np.searchsorted(shared, own >> np.uint64(cut)), len(shared) - 1)
@@ -241,17 +258,40 @@ def first_keys(sets: DataFrame, percent: int = PERCENT, universe: float = UNIVER
                 continue
             df = np.where(hit, dfs[at], 1)
             first = np.lexsort((own, np.where(late, 0, df), late))[:need]
-            first = first[hit[first]]
-            if len(first):
-                keys.append(own[first])
-                uids.append(np.full(len(first), uid, np.int64))
-        if not keys:
+            at = np.flatnonzero(hit[first])
+            if len(at):
+                found.append((own[first[at]].astype(np.int64), np.full(len(at), uid, np.int64), np.full(len(at), n, np.int64),
+                              largest_partner(n, at, percent)))
+        if not found:
             return none
-        return pa.table([np.concatenate(keys).astype(np.int64), np.concatenate(uids)], names=["key", "uid"])
+        return pa.table([np.concatenate(c) for c in zip(*found, strict=True)], names=[name for name, _ in out])
 
     reps = sets.where("keys IS NOT NULL").select("chunk", "uid", "n", "keys")
     return (reps.groupBy("chunk").cogroup(_shared_keys(sets, bits).groupBy("chunk"))
-            .applyInArrow(pick, "key long, uid long"))
+            .applyInArrow(pick, "key long, uid long, n long, most long"))
+
+
+def stars(keys: DataFrame) -> DataFrame:
+    """Edges (u, v) that connect documents of ``first_keys`` wherever a link can.
+
+    Two documents can meet at a key only if neither is larger than the other's
+    ``most``.  The sizes at a key, in order, are cut where no smaller document's
+    ``most`` reaches the next size; a run of one size needs two documents that
+    reach their own.  Sizes are aggregated before any window, so a key of very
+    many documents is a row for each size there.
+    """
+    sized = keys.groupBy("key", "n").agg(F.max("most").alias("__top"), F.count_if(F.col("most") >= F.col("n")).alias("__same"))
+    smaller = Window.partitionBy("key").orderBy("n")
+    reach = F.max("__top").over(smaller.rowsBetween(Window.unboundedPreceding, -1))
+    cut = sized.withColumn("__starts", F.coalesce(reach < F.col("n"), F.lit(True)))
+    runs = kept(cut.withColumn("run", F.max(F.when(F.col("__starts"), F.col("n"))).over(smaller.rowsBetween(Window.unboundedPreceding, 0)))
+                .withColumn("__alive", F.sum(F.col("__same")).over(Window.partitionBy("key", "run")))
+                .withColumn("__sizes", F.count(F.lit(1)).over(Window.partitionBy("key", "run")))
+                .where("__sizes > 1 OR __alive > 1").select("key", "n", "run"), "ngram-runs")
+    posts = kept(keys.join(runs, ["key", "n"]).where("most >= run").select("key", "run", "uid"), "ngram-posts")
+    centres = kept(posts.groupBy("key", "run").agg(F.min("uid").alias("v"), F.max("uid").alias("__last"))
+                   .where("v <> __last").select("key", "run", "v"), "ngram-stars")
+    return posts.withColumnRenamed("uid", "u").join(centres, ["key", "run"]).where("u <> v").select("u", "v").distinct()
 
 
 def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
@@ -288,6 +328,38 @@ def components(edges: DataFrame, rounds: int = 100) -> DataFrame:
     return now.select("u", F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("u"), F.col("v").alias("root")).distinct())
 
 
+class _Meetings:
+    """The documents of a tile that share a first shingle with a document, in
+    places that allow a link; ``sets`` are sorted by size.  Rare shingles of the
+    tile come first in its order."""
+
+    def __init__(self, sets: list[np.ndarray], sizes: np.ndarray, percent: int):
+        n, starts = len(sets), np.cumsum(sizes) - sizes
+        _, token, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        doc, df = np.repeat(np.arange(n), sizes), count[token]
+        order = np.lexsort((token, df, doc))
+        at = np.arange(len(order)) - starts[doc]  # places do not move between documents
+        use = (at < prefix_length(sizes, percent)[doc]) & (df[order] > 1)
+        token, doc, at = token[order][use], doc[use], at[use]
+        most = largest_partner(sizes[doc], at, percent)
+        order = np.argsort(token, kind="stable")
+        token, self.doc, self.most = token[order], doc[order], most[order]
+        # from a posting to the last of its shingle whose document is small enough
+        self.ends = np.searchsorted(token * n + self.doc, token * n + np.searchsorted(sizes, self.most, side="right"))
+        self.count = np.bincount(self.doc, np.maximum(0, self.ends - np.arange(len(token)) - 1), n)
+        self.of = np.argsort(self.doc, kind="stable")
+        self.bounds = np.searchsorted(self.doc[self.of], np.arange(n + 1))
+        self.sizes = sizes
+
+    def later(self, i: int) -> np.ndarray:
+        """Documents after ``i`` that it can link to."""
+        if not self.count[i]:
+            return np.empty(0, np.int64)
+        mine = self.of[self.bounds[i]:self.bounds[i + 1]]
+        spans = [slice(k + 1, e) for k, e in zip(mine.tolist(), self.ends[mine].tolist(), strict=True) if e > k + 1]
+        return np.unique(np.concatenate([self.doc[x][self.most[x] >= self.sizes[i]] for x in spans]))
+
+
 class Tile:
     """Documents (uid, sorted hashes) of one task, joined exactly."""
 
@@ -322,14 +394,15 @@ class Tile:
             flags = np.zeros(width, bool)
             flags[s & np.uint64(width - 1)] = True
             bits[i] = np.packbits(flags).view(np.uint64)
+        meet = _Meetings(sets, sizes, self.percent) if len(sets) > FEW else None
         for i in range(len(sets) - 1):
             end = int(np.searchsorted(sizes, sizes[i] * 100 // self.percent, side="right"))
             if end <= i + 1:
                 continue
-            open_ = label[i + 1:end] != label[i]
+            others = meet.later(i) if meet and meet.count[i] < end - i - 1 else np.arange(i + 1, end)
+            others = others[label[others] != label[i]]
             if across:
-                open_ &= side[i + 1:end] != side[i]
-            others = np.flatnonzero(open_) + i + 1
+                others = others[side[others] != side[i]]
             for a in range(0, len(others), 4096):
                 self_and = others[a:a + 4096]
                 mine_only = np.bitwise_count(bits[i] & ~bits[self_and]).sum(1)
@@ -412,15 +485,29 @@ def _large_sets(members: DataFrame, tile: int, pivots: int, size: int, percent:
     return inside.unionByName(star).unionByName(meet(apart, second, "ngram-apart"))
 
 
+def _join_sets(members: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links inside candidate sets (cc, uid, text) that one task holds each."""
+    return _join_tiles(members.select("cc", "uid", F.col("uid").alias("label"), F.lit(False).alias("side"), "text"), ["cc"], False, size, percent)
+
+
+def _sets_anew(members: DataFrame, size: int, percent: int, chunk_keys: int) -> tuple[DataFrame, int]:
+    """Candidate sets (cc, uid, n, text, __total) of the documents of large ones
+    (uid, text), and the largest total.  Now all their shingles are counted, so that
+    the rare ones come first whatever their hashes and the position filter sees all."""
+    sets = document_sets(members.withColumnRenamed("uid", "doc_id"), size, percent, 1.0, chunk_keys)
+    cc = components(stars(kept(first_keys(sets, percent, 1.0), "ngram-keys")))
+    found = kept(sets.join(cc.withColumnRenamed("u", "uid"), "uid").select(F.col("doc_id").alias("uid"), "n", F.col("root").alias("cc")), "ngram-anew")
+    total = kept(found.groupBy("cc").agg(F.sum("n").alias("__total")), "ngram-totals")
+    most = total.agg(F.max("__total")).first()[0] or 0
+    return kept(members.join(found.join(total, "cc"), "uid"), "ngram-members"), most
+
+
 def near_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, universe: float = UNIVERSE,
                 chunk_keys: int = CHUNK_KEYS, tile_shingles: int = TILE_SHINGLES, pivots: int = PIVOTS) -> DataFrame:
     """uid, doc_id, th, n and root (one uid for each component) per document."""
     sets = document_sets(docs, size, percent, universe, chunk_keys)
     keys = kept(first_keys(sets, percent, universe), "ngram-keys")
-    stars = kept(keys.groupBy("key").agg(F.min("uid").alias("v"), F.max("uid").alias("__last"))
-                 .where("v <> __last").select("key", "v"), "ngram-stars")
-    edges = keys.withColumnRenamed("uid", "u").join(stars, "key").where("u <> v").select("u", "v").distinct()
-    cc = components(edges).select(F.col("u").alias("uid"), F.col("root").alias("cc"))
+    cc = components(stars(keys)).select(F.col("u").alias("uid"), F.col("root").alias("cc"))
     # equal sets of a candidate set are one
     of = kept(sets.select("uid", "doc_id", "th", "n", "d1", "d2").join(cc, "uid"), "ngram-candidates")
     same = of.groupBy("cc", "n", "d1", "d2").agg(F.min("uid").alias("one"))
@@ -435,12 +522,14 @@ def near_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, un
     texts = (docs.select(F.coalesce(docs["doc_id"].cast("long"), no_id).alias("__id"), text_or_empty(docs).alias("text"))
              .withColumn("th", F.xxhash64("text")))
     members = texts.join(wanted.hint("merge"), ["__id", "th"])  # the same plan at every size
-    small = _join_tiles(members.where(F.col("__total") <= tile_shingles).select(
-        "cc", "uid", F.col("uid").alias("label"), F.lit(False).alias("side"), "text").dropDuplicates(["uid"]), ["cc"], False, size, percent)
-    links = kept(small, "ngram-links")
+    small = members.where(F.col("__total") <= tile_shingles).select("cc", "uid", "text").dropDuplicates(["uid"])
+    links = kept(_join_sets(small, size, percent), "ngram-links")
     if not ones.where(F.col("__total") > tile_shingles).isEmpty():
-        large = members.where(F.col("__total") > tile_shingles).select("cc", "uid", "n", "text").dropDuplicates(["uid"])
-        links = links.unionByName(_large_sets(large, tile_shingles, pivots, size, percent))
+        large = kept(members.where(F.col("__total") > tile_shingles).select("uid", "text").dropDuplicates(["uid"]), "ngram-large")
+        large, most = _sets_anew(large, size, percent, chunk_keys)
+        links = links.unionByName(kept(_join_sets(large.where(F.col("__total") <= tile_shingles), size, percent), "ngram-links"))
+        if most > tile_shingles:
+            links = links.unionByName(_large_sets(large.where(F.col("__total") > tile_shingles).drop("__total"), tile_shingles, pivots, size, percent))
     roots = components(links).select(F.col("u").alias("one"), "root")
     known = (alias.join(roots, "one", "left").select(F.col("uid").alias("rep"), F.coalesce("root", "one").alias("root")))
     return (sets.select("uid", "doc_id", "th", "n", "rep").join(known, "rep", "left")

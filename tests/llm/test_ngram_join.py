@@ -143,3 +143,61 @@ def test_components_that_do_not_settle_are_an_error(spark):
     path = spark.range(200).selectExpr("id as u", "id + 1 as v")
     with pytest.raises(RuntimeError, match="did not settle"):
         N.components(path, rounds=1)
+
+
+def templated(n, common=11, fill=1):
+    """Texts that share their words but for the last ones: 7 of 8 shingles, no link."""
+    return [(i, " ".join([f"c{k}" for k in range(common)] + [f"own{i}x{k}" for k in range(fill)])) for i in range(n)]
+
+
+def test_templates_below_the_threshold_make_no_candidates(spark):
+    rows = templated(3000) + [(5000, "some other text of quite a few words here"), (5001, "some other text of quite a few words here")]
+    docs = documents(spark, rows).repartition(7)
+    found = N.document_sets(docs, universe=1.0, chunk_keys=2000)
+    keys = N.first_keys(found, universe=1.0)
+    assert keys.count() >= 3000
+    ids = {r["uid"]: r["doc_id"] for r in found.collect()}
+    assert {ids[x] for r in N.stars(keys).collect() for x in r} <= {5000, 5001}
+    assert run(docs, tile_shingles=5000) == sorted([(i, 8, i) for i in range(3000)] + [(5000, 5, 5000), (5001, 5, 5000)], key=str)
+
+
+def test_templates_of_many_sizes_equal_all_pairs(spark):
+    rng = random.Random(8)
+    rows = [(i, " ".join([f"c{k}" for k in range(44)] + [f"own{i}x{k}" for k in range(rng.randint(0, 14))])) for i in range(120)]
+    rows += [(200 + i, " ".join(f"c{k}" for k in range(rng.randint(30, 44)))) for i in range(30)]
+    want = brute(rows)
+    assert 2 < len({r[2] for r in want}) < 120
+    for options in ({}, {"chunk_keys": 500, "tile_shingles": 300, "pivots": 1}):
+        assert run(documents(spark, rows).repartition(5), **options) == want
+
+
+@pytest.mark.parametrize("across", [False, True])
+def test_tile_links_connect_what_all_pairs_connect(across):
+    rng = random.Random(9)
+    for _ in range(12):
+        tile, sets_, sides = N.Tile(), [], []
+        pools = [rng.sample(range(10_000), rng.randint(1, 60)) for _ in range(6)]
+        for i in range(90):
+            s = set(rng.choice(pools))
+            for _ in range(rng.randint(0, 6)):
+                s.add(rng.randrange(10_000))
+                if rng.random() < .5 and len(s) > 1:
+                    s.remove(rng.choice(sorted(s)))
+            sets_.append(s)
+            sides.append(rng.random() < .5)
+            tile.add(i, N.np.array(sorted(s), N.np.uint64), i, sides[-1])
+
+        def parts(links):
+            root = list(range(90))
+
+            def find(x):
+                while root[x] != x:
+                    x = root[x]
+                return x
+            for a, b in links:
+                root[find(a)] = find(b)
+            return {frozenset(x for x in range(90) if find(x) == r) for r in map(find, range(90))}
+
+        links = [(a, b) for a in range(90) for b in range(a)
+                 if 180 * len(sets_[a] & sets_[b]) >= 80 * (len(sets_[a]) + len(sets_[b])) and not (across and sides[a] == sides[b])]
+        assert parts(tile.links(across)) == parts(links)
