@@ -109,7 +109,7 @@ def _seed_kind(value: Column, left: Column) -> Column:
 def _plausible(kind: Column, value: Column) -> Column:
     """Forms that an instance found by its contexts may have."""
     return (F.when(kind == "email", value.rlike(r"^[^@]+@[^@]+$"))
-            .when(kind == "ip", value.rlike(r"^[0-9]{1,3}(?:\.[0-9]{1,3}){2,}$"))
+            .when(kind == "ip", value.rlike(r"^[0-9]{1,3}+(?:\.[0-9]{1,3}+){2,}+$"))
             .when(kind == "card", value.rlike(r"^[0-9]{12,19}$"))
             .when(kind == "phone", value.rlike(r"^\+?[0-9.]{7,17}$"))
             .when(kind == "iban", value.rlike(r"^[a-z]{2}[0-9]{2}[a-z0-9]{11,30}$"))
@@ -152,7 +152,7 @@ def occurrences(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                             & F.coalesce(F.col("__ahead") >= F.col("end"), F.lit(True))))
              .select("__uid", "kind", "start", "end", "value", "left", "right"))
     # a candidate ends before the marks of its sentence
-    lead, core = F.regexp_extract("value", r"^[.,]*", 0), F.regexp_replace("value", r"^[.,]+|[.,]+$", "")
+    lead, core = F.regexp_extract("value", r"^[.,]*", 0), F.regexp_replace("value", r"^[.,]+|(?<![.,])[.,]++$", "")
     spans = spans.select("__uid", "kind", F.when(seed, F.col("start")).otherwise(F.col("start") + F.length(lead)).alias("start"),
                          "end", F.when(seed, F.col("value")).otherwise(core).alias("value"), "left", "right")
     spans = spans.where(F.length("value") > 0).select(
@@ -162,7 +162,7 @@ def occurrences(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _instance(value: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(F.lower(value), r"[\x20()-]", ""), r"^[.,]+|[.,]+$", "")
+    return F.regexp_replace(F.regexp_replace(F.lower(value), r"[\x20()-]", ""), r"^[.,]+|(?<![.,])[.,]++$", "")
 
 
 def edges(spans: DataFrame) -> DataFrame:
