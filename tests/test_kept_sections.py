@@ -1,0 +1,80 @@
+"""The sections kept once for the tables derived from them, and what COURSES
+shuffles and holds of them."""
+
+import datetime as dt
+
+import pytest
+
+from registrar_feeds.asof import FIXTURE_AS_OF as A
+from registrar_feeds.operators import sections as S
+from registrar_feeds.session import scratch_dir
+from registrar_feeds.sources import derive_tables
+from tests.helpers import dec, tables
+from tests.test_properties import _plan, _scans
+
+
+@pytest.fixture(scope="module")
+def odd_dir(spark):
+    """Test tables with courses that occur twice, are absent or null, and with
+    repeated and null orders."""
+    base = scratch_dir(spark, "odd-tables")
+    day = dt.datetime(1998, 3, 1)
+    rows = {
+        "nation": ("n_nationkey long, n_name string", [(i, f"N{i}") for i in range(3)]),
+        "part": ("p_partkey long, p_name string, p_brand string, p_type string",
+                 [(k, f"name {k} {i}", "b", "t") for i, k in enumerate([1, 1, 2, 3, 10, 10, 10, None, 12345678])]),
+        "supplier": ("s_suppkey long, s_name string", [(1, "S1"), (2, "S2")]),
+        "customer": ("c_custkey long, c_name string", [(k, f"C{k}") for k in (1, 2, 7, 14)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string, o_orderdate timestamp_ntz",
+                   [(k, 1 + i % 3, "FO"[i % 2], "1-URGENT", day + dt.timedelta(days=40 * i))
+                    for i, k in enumerate([1, 2, 2, 3, 11, 22, None])]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_shipdate timestamp_ntz",
+                     [(o, p, 1 + n % 2, n, "RN"[n % 2], day + dt.timedelta(days=n))
+                      for o in (1, 2, 3, 11, 99, None) for p in (1, 2, 4, 10, None, 12345678, 1234567) for n in (1, 2, 1)]),
+    }
+    for name, (schema, data) in rows.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{base}/{name}.parquet")
+    return base
+
+
+def test_kept_sections_give_the_same_tables(spark, odd_dir):
+    plain, kept = derive_tables(spark, odd_dir), derive_tables(spark, odd_dir, scratch_dir(spark, "sections"))
+    assert list(plain) == list(kept)
+    assert plain["jenzcrs_rec"].count() > 0 and plain["sec_rec"].count() > 0
+    for name, df in plain.items():
+        assert df.schema.simpleString() == kept[name].schema.simpleString(), name
+        assert df.exceptAll(kept[name]).count() == 0 and kept[name].exceptAll(df).count() == 0, name
+
+
+def test_kept_sections_are_joined_once(spark, odd_dir):
+    """No table that derives from the sections reads the line items again."""
+    kept = derive_tables(spark, odd_dir, scratch_dir(spark, "sections"))
+    for name in ("sec_rec", "secmtg_rec", "jenzcrs_rec", "jenzsch_rec", "jenztrm_rec", "jenzcrp_rec", "audit_sec_rec"):
+        assert not any("lineitem.parquet" in f for f in kept[name].inputFiles()), name
+
+
+def test_meet_pattern_holds_no_hash_map_of_section_meetings(spark):
+    day = dt.date(1998, 7, 1)
+    one = ("C0000001", "01", "UG18", "1998", "RB", 7)
+    t = tables(spark, secmtg_rec=[one, one, one[:1] + ("02",) + one[2:], one],
+               mtg_rec=[(7, "1998", "RB", "B1", "R1", d, dec(800), dec(850), day, day) for d in ("M------", "-T-----", "--W----")],
+               bldg_table=[("B1", "Main")])
+    out = S.meet_pattern(t)
+    assert "HashAggregate" not in _plan(out)
+    assert sorted(map(tuple, out.select("sec_no", "mtg_no", "bldg", "room", "x", "y").collect())) == [
+        (s, 7, "Main", "R1", f"C0000001-{s}-M------ 800-850", f"C0000001-{s}---W---- 800-850") for s in ("01", "02")]
+
+
+def test_active_sections_open_only_the_terms_at_hand(spark, stored_tables):
+    """Offerings of other terms are not read where nothing is broadcast either."""
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        there = stored_tables["jenzcrs_rec"].select("term_code").distinct().count()
+        scans = _scans(S.active_sections(stored_tables, A), "jenzcrs_rec")
+        assert scans and all(0 < n < there for n, _ in scans)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
