@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from registrar_feeds.sources.registrar import (
-    _folder_columns, check_env, check_staged, read_staged, table_path, write_tables,
+    CODEC, _folder_columns, check_env, check_staged, read_staged, table_path, write_tables,
 )
 from registrar_feeds.sources.schemas import BUCKET_COLUMNS, PARTITION_COLUMNS, TABLES, staged_schema
 
@@ -107,7 +107,7 @@ def store_tables(tables: dict[str, DataFrame], base: str, env: str = "live", buc
         parts = PARTITION_COLUMNS[name]
         dealt = df.repartition(buckets, *keys).sortWithinPartitions(*parts, *keys)
         (dealt.write.mode("overwrite").format("parquet").partitionBy(*parts).bucketBy(buckets, *keys).sortBy(*keys)
-         .option("path", path).options(**_size(layout)).saveAsTable(full))
+         .option("path", path).options(**_options(layout)).saveAsTable(full))
         store, at = _mark(spark, path)
         stream = store.create(at, True)
         stream.writeInt(buckets)
@@ -115,9 +115,9 @@ def store_tables(tables: dict[str, DataFrame], base: str, env: str = "live", buc
     register_tables(spark, base, env, tuple(tables))
 
 
-def _size(layout: dict) -> dict[str, str]:
+def _options(layout: dict) -> dict[str, str]:
     size = layout.get("row_group_bytes")
-    return {"parquet.block.size": str(size)} if size else {}
+    return {"compression": CODEC, **({"parquet.block.size": str(size)} if size else {})}
 
 
 __all__ = ["catalog_tables", "register_tables", "store_tables", "table_name"]
